@@ -172,36 +172,38 @@ def fit(train: DataFrame, share: int = 1_000_000, part_tokens: int = 4_000_000)
     return head, tail, rest, {"tokens": tokens, "kinds": kinds}
 
 
-_PACKED = "part int, kind int, uid long, size int, keys binary, docs binary, times binary, doc_id long, tokens long, known long, base double, score double"
-_SCHEMA = pa.schema(
-    [("part", pa.int32()), ("kind", pa.int32()), ("uid", pa.int64()), ("size", pa.int32()), ("keys", pa.binary()), ("docs", pa.binary()), ("times", pa.binary())]
-    + [("doc_id", pa.int64()), ("tokens", pa.int64()), ("known", pa.int64()), ("base", pa.float64()), ("score", pa.float64())]
-)
+_LISTS = [(n, pa.list_(t)) for n, t in (("doc_id", pa.int64()), ("tokens", pa.int64()), ("known", pa.int64()), ("base", pa.float64()), ("score", pa.float64()))]
+_TEXTS = "doc_id array<long>, tokens array<long>, known array<long>, base array<double>, score array<double>"
+_PACKED = "part int, kind int, batch long, size int, keys binary, docs binary, times binary, " + _TEXTS
+_SCHEMA = pa.schema([("part", pa.int32()), ("kind", pa.int32()), ("batch", pa.int64()), ("size", pa.int32()), *((n, pa.binary()) for n in ("keys", "docs", "times")), *_LISTS])
 WORD_EVENT, BIGRAM_EVENT, TEXT = 0, 1, 2
 
 
-def _pack(kind: int, uid: int, docs: np.ndarray, keys: np.ndarray, times: np.ndarray, parts: int) -> Iterator[dict]:
-    """Rows that hold the events of texts uid, uid + 1, ..., one per part."""
+def _squeeze(values: np.ndarray) -> bytes:
+    """Values byte plane by byte plane, compressed."""
+    return pa.compress(values.view(np.uint8).reshape(-1, values.itemsize).T.tobytes(), codec="zstd", asbytes=True)
+
+
+def _unpack(blob: bytes, size: int, kind: type) -> np.ndarray:
+    width = np.dtype(kind).itemsize
+    raw = np.frombuffer(pa.decompress(blob, size * width, codec="zstd"), dtype=np.uint8)
+    return np.ascontiguousarray(raw.reshape(width, size).T).view(kind).ravel()
+
+
+def _pack(kind: int, batch: int, docs: np.ndarray, keys: np.ndarray, times: np.ndarray, parts: int) -> Iterator[dict]:
+    """Rows that hold the events of a batch of texts, one per part."""
     part = np.mod(keys, parts)
     order = np.lexsort((docs, keys, part))
     part, keys, docs, times = part[order], keys[order], docs[order], times[order]
     cuts = np.searchsorted(part, np.arange(parts + 1))
     for p in np.flatnonzero(cuts[1:] > cuts[:-1]):
         a, b = cuts[p], cuts[p + 1]
-        steps = np.diff(keys[a:b], prepend=0).view(np.uint8).reshape(-1, 8).T.tobytes()
         yield {
-            "part": int(p), "kind": kind, "uid": uid, "size": int(b - a),
-            "keys": pa.compress(steps, codec="zstd", asbytes=True),
-            "docs": pa.compress(docs[a:b].astype(np.uint32).view(np.uint8).reshape(-1, 4).T.tobytes(), codec="zstd", asbytes=True),
-            "times": pa.compress(times[a:b].astype(np.uint32).view(np.uint8).reshape(-1, 4).T.tobytes(), codec="zstd", asbytes=True),
+            "part": int(p), "kind": kind, "batch": batch, "size": int(b - a),
+            "keys": _squeeze(np.diff(keys[a:b], prepend=0)), "docs": _squeeze(docs[a:b].astype(np.uint32)), "times": _squeeze(times[a:b].astype(np.uint32)),
         }
 
 
-def _unpack(blob: bytes, size: int, width: int) -> np.ndarray:
-    raw = np.frombuffer(pa.decompress(blob, size * width, codec="zstd"), dtype=np.uint8)
-    return np.ascontiguousarray(raw.reshape(width, size).T).view(np.int64 if width == 8 else np.uint32).ravel()
-
-
 def _per_text(docs: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Distinct (text, key) with how often."""
     order = np.lexsort((keys, docs))
@@ -213,97 +215,100 @@ def _per_text(docs: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarra
 
 
 def _look_up(batches: Iterator[pa.RecordBatch], head: Head) -> Iterator[pa.RecordBatch]:
-    base_uid = TaskContext.get().partitionId() << 40
-    uid = base_uid
+    """Batches of about ``FLUSH`` open events: what is known of each text, and the events by part."""
+    batch = TaskContext.get().partitionId() << 32
+    names = [n for n, _ in _LISTS]
     held: dict[int, list] = {WORD_EVENT: [], BIGRAM_EVENT: []}
+    lists: dict[str, list] = {n: [] for n in names}
+    count = size = 0
 
-    def flush(first: int, texts: list[dict]) -> pa.RecordBatch:
-        rows = texts
+    def flush() -> pa.RecordBatch:
+        rows = [{"part": batch % head.parts, "kind": TEXT, "batch": batch, "size": count, **{n: x for n, x in lists.items()}}]
         for kind, parts in held.items():
             if parts:
-                docs, keys, times = (np.concatenate(x) for x in zip(*parts, strict=True))
-                rows = [*rows, *_pack(kind, first, docs - first, keys, times, head.parts)]
-                parts.clear()
+                rows += _pack(kind, batch, *(np.concatenate(x) for x in zip(*parts, strict=True)), head.parts)
         return pa.RecordBatch.from_pylist(rows, schema=_SCHEMA)
 
-    first, texts, size = uid, [], 0
-    for batch in batches:
-        doc_ids = batch.column(0).to_pylist()
-        for words in scan(batch.column(1)):
+    for rows in batches:
+        doc_ids = rows.column(0).to_pylist()
+        for words in scan(rows.column(1)):
             ids = _ids(words, head.words)
             pair, doc = _bigrams(words, ids)
-            n = np.bincount(doc, minlength=words.texts)
             at = np.minimum(np.searchsorted(head.bigrams, pair), max(len(head.bigrams) - 1, 0))
             sure = head.bigrams[at] == pair if len(head.bigrams) else np.zeros(len(pair), bool)
-            score = np.bincount(doc[sure], weights=head.bigram_log[at[sure]], minlength=words.texts)
             common = ids != RARE
-            base = np.bincount(words.doc[common], weights=head.seen[ids[common]], minlength=words.texts) + head.seen[END]
-            known = np.bincount(words.doc[common], minlength=words.texts) + (head.seen[END] > 0)
-            for i in range(words.texts):
-                texts.append(
-                    {"part": int((uid + i) % head.parts), "kind": TEXT, "uid": uid + i, "doc_id": doc_ids[words.first + i], "tokens": int(n[i]),
-                     "known": int(known[i]), "base": float(base[i]), "score": float(score[i])}
-                )
+            lists["doc_id"] += doc_ids[words.first : words.first + words.texts]
+            lists["tokens"] += np.bincount(doc, minlength=words.texts).tolist()
+            lists["known"] += (np.bincount(words.doc[common], minlength=words.texts) + int(head.seen[END] > 0)).tolist()
+            lists["base"] += (np.bincount(words.doc[common], weights=head.seen[ids[common]], minlength=words.texts) + head.seen[END]).tolist()
+            lists["score"] += np.bincount(doc[sure], weights=head.bigram_log[at[sure]], minlength=words.texts).tolist()
             for kind, d, k in ((WORD_EVENT, words.doc[~common], words.hash[~common].view(np.int64)), (BIGRAM_EVENT, doc[~sure], pair[~sure])):
                 if len(d):
                     d, k, times = _per_text(d, k)
-                    held[kind].append((d + uid, k, times))
+                    held[kind].append((d + count, k, times))
                     size += len(d)
-            uid += words.texts
-            if size > FLUSH:
-                yield flush(first, texts)
-                first, texts, size = uid, [], 0
-    if texts:
-        yield flush(first, texts)
+            count += words.texts
+            if size > FLUSH or count > 1 << 16:
+                yield flush()
+                batch += 1
+                held, lists, count, size = {k: [] for k in held}, {n: [] for n in names}, 0, 0
+    if count:
+        yield flush()
 
 
-_ANSWER = "uid long, doc_id long, tokens long, known long, base double, score double"
-_ANSWERED = pa.schema([("uid", pa.int64()), ("doc_id", pa.int64()), ("tokens", pa.int64()), ("known", pa.int64()), ("base", pa.float64()), ("score", pa.float64())])
+_ANSWER = "kind int, batch long, size int, docs binary, known_sums binary, base_sums binary, score_sums binary, " + _TEXTS
+_ANSWERED = pa.schema([("kind", pa.int32()), ("batch", pa.int64()), ("size", pa.int32()), *((n, pa.binary()) for n in ("docs", "known_sums", "base_sums", "score_sums")), *_LISTS])
 
 
 def _answer(events: pa.Table, table: pa.Table, head: Head) -> pa.Table:
-    """Sums by text of what one part of the tables says to its events."""
+    """What one part of the tables says to its events: a packed row of sums by text for each batch."""
     sides = {}
     kinds = table.column("kind").to_numpy()
     for kind in (WORD_EVENT, BIGRAM_EVENT):
         keys, n = table.column("key").to_numpy()[kinds == kind], table.column("n").to_numpy()[kinds == kind]
         order = np.argsort(keys)
         sides[kind] = keys[order], n[order]
-    uids, known, base, score = [], [], [], []
-    own = events.column("kind").to_numpy()
-    for i in np.flatnonzero(own != TEXT):
-        kind, first, size = int(own[i]), events.column("uid")[i].as_py(), events.column("size")[i].as_py()
-        keys = np.cumsum(_unpack(events.column("keys")[i].as_py(), size, 8))
-        docs = _unpack(events.column("docs")[i].as_py(), size, 4).astype(np.int64)
-        times = _unpack(events.column("times")[i].as_py(), size, 4).astype(np.float64)
-        there, counts = sides[kind]
+    out = []
+    for row in events.to_batches(max_chunksize=1):
+        e = row.to_pylist()[0]
+        if e["kind"] == TEXT:
+            out.append({k: e[k] for k in ("kind", "batch", "size", *(n for n, _ in _LISTS))})
+            continue
+        keys = np.cumsum(_unpack(e["keys"], e["size"], np.int64))
+        docs, times = _unpack(e["docs"], e["size"], np.uint32), _unpack(e["times"], e["size"], np.uint32).astype(np.float64)
+        there, counts = sides[e["kind"]]
         at = np.minimum(np.searchsorted(there, keys), max(len(there) - 1, 0))
-        n = np.where(there[at] == keys, counts[at], 0) if len(there) else np.zeros(size, np.int64)
-        few = np.minimum(n, TOP)
-        big = np.log10(np.maximum(n, 1))
-        span = int(docs.max()) + 1
-        if kind == WORD_EVENT:
+        n = np.where(there[at] == keys, counts[at], 0) if len(there) else np.zeros(len(keys), np.int64)
+        few, big = np.minimum(n, TOP), np.log10(np.maximum(n, 1))
+        texts, place = np.unique(docs, return_inverse=True)
+        if e["kind"] == WORD_EVENT:
             log = np.where(n <= TOP, head.rare[few], big) - head.rare_total
-            base.append(np.bincount(docs, weights=times * np.log10(n + 1.0), minlength=span))
-            known.append(np.bincount(docs, weights=times * (n > 0), minlength=span))
+            known, base = times * (n > 0), times * np.log10(n + 1.0)
         else:
             h, w = keys >> 32, keys & ((1 << 32) - 1)
             log = np.where(n > 0, np.where(n <= TOP, head.times[few], big) + head.context[h], head.backoff[h] + head.unigram[w])
-            base.append(np.zeros(span))
-            known.append(np.zeros(span))
-        score.append(np.bincount(docs, weights=times * log, minlength=span))
-        uids.append(first + np.arange(span))
-        there = np.bincount(docs, minlength=span) > 0
-        for x in (uids, known, base, score):
-            x[-1] = x[-1][there]
-    whole = events.filter(pa.array(own == TEXT)).select(_ANSWERED.names).cast(_ANSWERED)
-    if not uids:
-        return whole
-    names, at = np.unique(np.concatenate(uids), return_inverse=True)
-    sums = [np.bincount(at, weights=np.concatenate(x), minlength=len(names)) for x in (known, base, score)]
-    none = pa.nulls(len(names), pa.int64())
-    part = pa.Table.from_arrays([pa.array(names), none, none, pa.array(sums[0].astype(np.int64)), pa.array(sums[1]), pa.array(sums[2])], schema=_ANSWERED)
-    return pa.concat_tables([whole, part])
+            known = base = np.zeros(len(keys))
+        sums = {k: np.bincount(place, weights=x, minlength=len(texts)) for k, x in (("known_sums", known), ("base_sums", base), ("score_sums", times * log))}
+        packed = {k: _squeeze(x.astype(np.uint32) if k == "known_sums" else x) for k, x in sums.items()}
+        out.append({"kind": e["kind"], "batch": e["batch"], "size": len(texts), "docs": _squeeze(texts), **packed})
+    return pa.Table.from_pylist(out, schema=_ANSWERED)
+
+
+_SCORED = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("base", pa.float64()), ("score", pa.float64())])
+
+
+def _total(answers: pa.Table) -> pa.Table:
+    """The texts of one batch with all their sums."""
+    rows = answers.to_pylist()
+    own = next(r for r in rows if r["kind"] == TEXT)
+    known, base, score = (np.array(own[k], dtype=np.float64) for k in ("known", "base", "score"))
+    for r in rows:
+        if r["kind"] != TEXT:
+            docs = _unpack(r["docs"], r["size"], np.uint32)
+            known[docs] += _unpack(r["known_sums"], r["size"], np.uint32)
+            base[docs] += _unpack(r["base_sums"], r["size"], np.float64)
+            score[docs] += _unpack(r["score_sums"], r["size"], np.float64)
+    return pa.Table.from_arrays([pa.array(own["doc_id"], pa.int64()), pa.array(own["tokens"]), pa.array(known.astype(np.int64)), pa.array(base), pa.array(score)], schema=_SCORED)
 
 
 def score(docs: DataFrame, train: DataFrame, share: int = 1_000_000, part_tokens: int = 4_000_000) -> DataFrame:
@@ -326,14 +331,14 @@ def score(docs: DataFrame, train: DataFrame, share: int = 1_000_000, part_tokens
     part = F.pmod("key", F.lit(head.parts)).cast("int").alias("part")
     table = tail.select(part, F.lit(WORD_EVENT).alias("kind"), "key", "n").unionAll(rest.select(part, F.lit(BIGRAM_EVENT).alias("kind"), "key", "n"))
     answers = events.groupBy("part").cogroup(table.groupBy("part")).applyInArrow(answer, _ANSWER)
-    sums = answers.groupBy("uid").agg(*[F.sum(c).alias(c) for c in ("doc_id", "tokens", "known", "base", "score")])
+    scored = answers.groupBy("batch").applyInArrow(_total, "doc_id long, n_tokens long, n_known long, base double, score double")
     size = float(np.log10(totals["tokens"] + totals["kinds"] + 1.0))
-    return sums.select(
+    return scored.select(
         "doc_id",
-        F.col("tokens").alias("n_tokens"),
-        F.col("known").alias("n_known"),
+        "n_tokens",
+        "n_known",
         F.lit(totals["tokens"]).cast("long").alias("train_tokens"),
-        (F.col("base") - F.col("tokens") * size).alias("base_score"),
+        (F.col("base") - F.col("n_tokens") * size).alias("base_score"),
         "score",
     )
 
