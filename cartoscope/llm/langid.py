@@ -16,16 +16,17 @@ from pyspark.sql import DataFrame, Window, functions as F, types as T
 
 ORDERS = (1, 2, 3, 4)
 UNKNOWN = "und"
+BLANK = 1  # not 0: a blank in front must make another key
 _TABLE: list[np.ndarray] = []
 
 
 def _letter_codes() -> np.ndarray:
-    """Code of each code point: itself for letters (16 bits), zero otherwise."""
+    """Code of each code point: itself for letters (16 bits), ``BLANK`` otherwise."""
     if not _TABLE:
         every = np.arange(0x110000, dtype=np.uint32)
         letters = np.fromiter((chr(c).isalpha() for c in range(0x110000)), dtype=bool, count=0x110000)
-        codes = np.where(letters, (every & 0xFFFF) ^ (every >> 16), 0).astype(np.uint64)
-        codes[letters & (codes == 0)] = 1
+        codes = np.where(letters, (every & 0xFFFF) ^ (every >> 16), BLANK).astype(np.uint64)
+        codes[letters & (codes <= BLANK)] = BLANK + 1
         _TABLE.append(codes)
     return _TABLE[0]
 
@@ -35,7 +36,7 @@ def gram_keys(text: str) -> np.ndarray:
     one blank on either side; a blank may only be an n-gram's first or last."""
     points = np.frombuffer(f" {text.lower()} ".encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
     codes = _letter_codes()[points]
-    solid = codes != 0
+    solid = codes != BLANK
     keep = solid.copy()
     keep[1:] |= solid[:-1]
     keep[0] = True

@@ -102,7 +102,7 @@ def mixed(
     ``targets``: by dimension a table (dimension, target) of shares; else the
     natural shares to ``power``. topic is the input's column of that name or
     :func:`form_topic`. Null source, language or topic count as a value of
-    their own. Documents of cells without tokens, or without a target, have
+    their own. Documents without words, and cells without a target, have
     probability 0; the draw hashes doc_id, so equal ids are drawn alike. Cells
     go to every task only if there are at most ``broadcast_cells``; otherwise
     they are joined by shuffle.
@@ -123,5 +123,5 @@ def mixed(
         chance = F.broadcast(chance)
     joined = docs.withColumns(known).join(chance, list(known), "left").drop(*known)
     draw = F.shiftrightunsigned(F.xxhash64(F.lit(seed), F.col("doc_id")), 11) / float(1 << 53)
-    chance = F.coalesce("probability", F.lit(0.0))
+    chance = F.when(F.col("n_tokens") > 0, F.coalesce("probability", F.lit(0.0))).otherwise(0.0)
     return joined.withColumns({"probability": chance, "sampled": draw < chance})

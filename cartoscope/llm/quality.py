@@ -21,7 +21,7 @@ CUTOFFS = {
     "repeats": (0.05, 0.1, 0.15, 0.2, 0.25, 0.3, 0.4, 0.45),
     "word_length": (7.0, 8.0, 9.0, 10.0, 12.0, 15.0, 20.0),
 }
-BLANKS = r" \t\n\u000b\f\r"
+BLANKS = r" \t\n\u000b\u000c\r"
 
 _FEATURES = rf"""
 transform(array(filter(split(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), x -> x <> '')), w -> struct(

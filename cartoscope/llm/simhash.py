@@ -118,7 +118,7 @@ def _bit(i: Column) -> Column:
 
 
 def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
-    """(node, root): least node of each component, for nodes with an edge.
+    """(node, root): least node of the component, for every other node with an edge.
 
     Alternates large-star and small-star steps until the edges are stars, which
     takes a number of rounds logarithmic in the longest chain; each round is
