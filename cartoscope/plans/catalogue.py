@@ -57,94 +57,93 @@ def sql_years(pattern: str = T.YEAR) -> str:
     return rf"list_transform(list_filter(string_split_regex(t, '[^\p{{L}}\p{{N}}_]+'), lambda w: regexp_full_match(w, '{pattern}')), lambda w: w::INTEGER)"
 
 
-def of_titles(name: str, sql: str, **columns: Column) -> None:
+def of_titles(name: str, sql: str, **columns: Callable[[Column], Column]) -> None:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return titles(spark, sf_dir).select("id", *[c.alias(k) for k, c in columns.items()])
+        return titles(spark, sf_dir).select("id", *[c(F.col("t")).alias(k) for k, c in columns.items()])
 
     QUERIES[name], ORACLES[name] = run, f"SELECT id, {sql} FROM {TITLES}"
 
 
-def of_values(name: str, rows: dict[int, str], sql: str, **columns: Column) -> None:
+def of_values(name: str, rows: dict[int, str], sql: str, **columns: Callable[[Column], Column]) -> None:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return X.spark_table(spark, rows).select("id", *[c.alias(k) for k, c in columns.items()])
+        return X.spark_table(spark, rows).select("id", *[c(F.col("t")).alias(k) for k, c in columns.items()])
 
     QUERIES[name], ORACLES[name] = run, f"SELECT id, {sql} FROM {X.sql_table(rows)}"
 
 
-t = F.col("t")
 POSITIVE, DOUBTFUL = (*V.POSITIVE, *LATIN_POSITIVE), (*V.DOUBTFUL, *LATIN_DOUBTFUL)
 SQL_CLASS = f"CASE WHEN {sql_any('t', POSITIVE)} THEN 'positive' WHEN {sql_any('t', DOUBTFUL)} THEN 'doubtful' ELSE 'negative' END"
 
 # Predicates and scalar functions
-of_titles("classify_titles", f"{SQL_CLASS} AS cls", cls=T.classify(t, POSITIVE, DOUBTFUL))
-of_titles("cart_filter", f"{sql_any('t', POSITIVE)} AS keep", keep=T.any_stem(t, POSITIVE))
-of_titles("doubtful_filter", f"{sql_any('t', DOUBTFUL)} AS doubtful", doubtful=T.any_stem(t, DOUBTFUL))
-of_titles("collection_filter", f"{sql_any('t', V.COLLECTION)} AS keep", keep=T.any_stem(t, V.COLLECTION))
-of_titles("category_gate", f"contains(lower(t), {X.literal(V.CATEGORY)}) AS keep", keep=F.lower(t).contains(V.CATEGORY))
-of_titles("territory_stems", f"{sql_any('t', [s.lower() for s in V.TERRITORY_STEMS])} AS keep", keep=T.any_stem(t, [s.lower() for s in V.TERRITORY_STEMS]))
+of_titles("classify_titles", f"{SQL_CLASS} AS cls", cls=lambda t: T.classify(t, POSITIVE, DOUBTFUL))
+of_titles("cart_filter", f"{sql_any('t', POSITIVE)} AS keep", keep=lambda t: T.any_stem(t, POSITIVE))
+of_titles("doubtful_filter", f"{sql_any('t', DOUBTFUL)} AS doubtful", doubtful=lambda t: T.any_stem(t, DOUBTFUL))
+of_titles("collection_filter", f"{sql_any('t', V.COLLECTION)} AS keep", keep=lambda t: T.any_stem(t, V.COLLECTION))
+of_titles("category_gate", f"contains(lower(t), {X.literal(V.CATEGORY)}) AS keep", keep=lambda t: F.lower(t).contains(V.CATEGORY))
+of_titles("territory_stems", f"{sql_any('t', [s.lower() for s in V.TERRITORY_STEMS])} AS keep", keep=lambda t: T.any_stem(t, [s.lower() for s in V.TERRITORY_STEMS]))
 of_titles(
     "geo_map_filter",
     f"({sql_any('t', ('перм', *V.GEO_WORDS))} AND NOT {sql_any('t', V.NOT_MAPS)}) AS keep",
-    keep=T.geo_map(t, F.lit(""), ("Перм",)),
+    keep=lambda t: T.geo_map(t, F.lit(""), ("Перм",)),
 )
-of_titles("relaxed_filter", f"({sql_any('t', POSITIVE)} OR regexp_matches(t, '[0-9]{{4}}')) AS keep", keep=T.any_stem(t, POSITIVE) | t.rlike("[0-9]{4}"))
-of_titles("min_title_length", "length(t) >= 5 AS keep", keep=F.length(t) >= 5)
+of_titles("relaxed_filter", f"({sql_any('t', POSITIVE)} OR regexp_matches(t, '[0-9]{{4}}')) AS keep", keep=lambda t: T.any_stem(t, POSITIVE) | t.rlike("[0-9]{4}"))
+of_titles("min_title_length", "length(t) >= 5 AS keep", keep=lambda t: F.length(t) >= 5)
 of_titles(
     "query_overlap",
     "len(list_filter(['карта', 'пермская', 'tion', 'schein'], lambda w: contains(lower(t), w))) > 0 AS keep",
-    keep=T.query_overlap(F.lit("карта пермская tion на schein"), t),
+    keep=lambda t: T.query_overlap(F.lit("карта пермская tion на schein"), t),
 )
-of_titles("years_minmax", f"list_min({sql_years()}) AS year_from, list_max({sql_years()}) AS year_to", year_from=T.years(t)[0], year_to=T.years(t)[1])
+of_titles("years_minmax", f"list_min({sql_years()}) AS year_from, list_max({sql_years()}) AS year_to", year_from=lambda t: T.years(t)[0], year_to=lambda t: T.years(t)[1])
 of_titles(
     "years_narrow", f"list_min({sql_years(T.YEAR_NARROW)}) AS year_from, list_max({sql_years(T.YEAR_NARROW)}) AS year_to",
-    year_from=T.years(t, T.YEAR_NARROW)[0], year_to=T.years(t, T.YEAR_NARROW)[1],
+    year_from=lambda t: T.years(t, T.YEAR_NARROW)[0], year_to=lambda t: T.years(t, T.YEAR_NARROW)[1],
 )
-of_titles("years_firstlast", f"({sql_years()})[1] AS year_from, ({sql_years()})[-1] AS year_to", year_from=T.years_in_order(t)[0], year_to=T.years_in_order(t)[1])
+of_titles("years_firstlast", f"({sql_years()})[1] AS year_from, ({sql_years()})[-1] AS year_to", year_from=lambda t: T.years_in_order(t)[0], year_to=lambda t: T.years_in_order(t)[1])
 of_titles(
     "years_any4",
     "regexp_extract_all(t, '[0-9]{4}')[1]::INTEGER AS year_from, regexp_extract_all(t, '[0-9]{4}')[-1]::INTEGER AS year_to",
-    year_from=T.years_any4(t)[0], year_to=T.years_any4(t)[1],
+    year_from=lambda t: T.years_any4(t)[0], year_to=lambda t: T.years_any4(t)[1],
 )
 SQL_FIX = "trim(regexp_replace(regexp_replace(t, '([а-яёa-z0-9])([А-ЯЁA-Z])', '\\1 \\2', 'g'), ' {2,}', ' ', 'g'), chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13))"
-of_titles("fix_title", f"{SQL_FIX} AS title", title=T.fix_title(t))
-of_titles("slippage", f"regexp_matches(t, '[{T.CYRILLIC}]{{14,}}') AS slip", slip=T.slippage(t))
+of_titles("fix_title", f"{SQL_FIX} AS title", title=lambda t: T.fix_title(t))
+of_titles("slippage", f"regexp_matches(t, '[{T.CYRILLIC}]{{14,}}') AS slip", slip=lambda t: T.slippage(t))
 SQL_WORDS = r"string_split_regex(lower(t), '[^\p{L}\p{N}_]+')"
 SQL_LANGUAGE = (
     f"CASE WHEN len(regexp_extract_all(t, '[a-zA-Z]')) > len(regexp_extract_all(t, '[{T.CYRILLIC}]')) THEN "
     f"CASE WHEN list_has_any({SQL_WORDS}, {sql_list(V.GERMAN_WORDS)}) THEN 'Немецкий' "
     f"WHEN list_has_any({SQL_WORDS}, {sql_list(V.FRENCH_WORDS)}) THEN 'Французский' ELSE 'Латинский' END ELSE 'Русский' END"
 )
-of_titles("language", f"{SQL_LANGUAGE} AS language", language=T.language(t))
+of_titles("language", f"{SQL_LANGUAGE} AS language", language=lambda t: T.language(t))
 SQL_LEVEL = (
     f"CASE WHEN {sql_any('t', ('губерни', 'наместничеств', 'провинци'))} THEN 'Губерния' "
     f"WHEN {sql_any('t', ('уезда', 'уезде', ' уезд'))} THEN 'Уезд' WHEN {sql_any('t', ('волост',))} THEN 'Волость' END"
 )
-of_titles("admin_level", f"{SQL_LEVEL} AS level", level=T.admin_level(t))
+of_titles("admin_level", f"{SQL_LEVEL} AS level", level=lambda t: T.admin_level(t))
 SQL_REGIONS = "concat_ws(', ', " + ", ".join(f"CASE WHEN contains(lower(t), {X.literal(s)}) THEN {X.literal(r)} END" for s, r in V.REGIONS) + ")"
-of_titles("modern_regions", f"{SQL_REGIONS} AS regions", regions=T.modern_regions(t, F.lit("")))
-of_titles("truncations", "left(t, 200) AS short, left(t, 2000) AS long", short=F.left(t, F.lit(200)), long=F.left(t, F.lit(2000)))
+of_titles("modern_regions", f"{SQL_REGIONS} AS regions", regions=lambda t: T.modern_regions(t, F.lit("")))
+of_titles("truncations", "left(t, 200) AS short, left(t, 2000) AS long", short=lambda t: F.left(t, F.lit(200)), long=lambda t: F.left(t, F.lit(2000)))
 
-of_values("kgr_filter", X.SHELVES, "(t = '' OR regexp_matches(upper(t), '^(KGR|КГР)')) AS keep", keep=T.map_shelfmark(t))
-of_values("rubric_filter", X.TITLES, f"{sql_any('t', V.RUBRICS)} AS keep", keep=T.map_rubric(t, F.lit("")))
-of_values("scale_parse", X.SCALES, "TRY_CAST(regexp_replace(t, '[^0-9]', '', 'g') AS BIGINT) AS scale", scale=T.scale(t))
+of_values("kgr_filter", X.SHELVES, "(t = '' OR regexp_matches(upper(t), '^(KGR|КГР)')) AS keep", keep=lambda t: T.map_shelfmark(t))
+of_values("rubric_filter", X.TITLES, f"{sql_any('t', V.RUBRICS)} AS keep", keep=lambda t: T.map_rubric(t, F.lit("")))
+of_values("scale_parse", X.SCALES, "TRY_CAST(regexp_replace(t, '[^0-9]', '', 'g') AS BIGINT) AS scale", scale=lambda t: T.scale(t))
 of_values(
     "cipher_parse", X.CIPHERS,
     r"""regexp_extract(t, 'Ф[.\s]+([\p{L}\p{N}_.-]+)', 1) AS fund, regexp_extract(t, '[Оо]п[.\s]+([^\s]+)', 1) AS inventory, regexp_extract(t, 'Д[.\s]+([0-9]+[\p{L}\p{N}_]*)', 1) AS "case" """,
-    fund=T.cipher(t).fund, inventory=T.cipher(t).inventory, case=T.cipher(t)["case"],
+    fund=lambda t: T.cipher(t).fund, inventory=lambda t: T.cipher(t).inventory, case=lambda t: T.cipher(t)["case"],
 )
 of_values(
     "cipher_digits", X.CIPHERS,
     r"""regexp_extract(t, 'Ф\.([0-9]+)', 1) AS fund, regexp_extract(t, 'Оп\.([0-9]+)', 1) AS inventory, regexp_extract(t, 'Д\.([0-9]+)', 1) AS "case" """,
-    fund=T.digit_cipher(t).fund, inventory=T.digit_cipher(t).inventory, case=T.digit_cipher(t)["case"],
+    fund=lambda t: T.digit_cipher(t).fund, inventory=lambda t: T.digit_cipher(t).inventory, case=lambda t: T.digit_cipher(t)["case"],
 )
 of_values(
     "lang_code", X.CODES,
     "CASE lower(left(t, 3)) " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in V.LANGUAGE_CODES.items()) + f" ELSE '{V.OTHER_LANGUAGE}' END AS language",
-    language=T.language_name(t),
+    language=lambda t: T.language_name(t),
 )
-of_values("workaround", X.FAULTS, "CASE " + " ".join(f"WHEN contains(lower(t), '{k}') THEN '{k}'" for k in V.FAULTS) + " ELSE 'other' END AS fault", fault=T.fault(t))
-of_values("access_class", X.ACCESSES, "CASE " + " ".join(f"WHEN contains(lower(t), '{k}') THEN '{v}'" for k, v in V.ACCESS) + " ELSE '' END AS access", access=T.access_class(t))
-of_values("document_type", X.TITLES, "CASE " + " ".join(f"WHEN contains(t, '{k}') THEN '{k}'" for k in V.DOCUMENT_TYPES) + " ELSE '' END AS kind", kind=T.first_of(t, V.DOCUMENT_TYPES))
+of_values("workaround", X.FAULTS, "CASE " + " ".join(f"WHEN contains(lower(t), '{k}') THEN '{k}'" for k in V.FAULTS) + " ELSE 'other' END AS fault", fault=lambda t: T.fault(t))
+of_values("access_class", X.ACCESSES, "CASE " + " ".join(f"WHEN contains(lower(t), '{k}') THEN '{v}'" for k, v in V.ACCESS) + " ELSE '' END AS access", access=lambda t: T.access_class(t))
+of_values("document_type", X.TITLES, "CASE " + " ".join(f"WHEN contains(t, '{k}') THEN '{k}'" for k in V.DOCUMENT_TYPES) + " ELSE '' END AS kind", kind=lambda t: T.first_of(t, V.DOCUMENT_TYPES))
 _CENTURY = "CASE " + " ".join(f"WHEN contains(upper(t), '{r}') AND regexp_matches(upper(t), '[XVI]\\s*В') THEN {{}}" for r, _ in V.CENTURIES) + " ELSE {} END"
 _YS = "list_transform(regexp_extract_all(t, '[0-9]{4}'), lambda w: w::INTEGER)"
 _UPTO = "(contains(lower(t), 'до') OR contains(lower(t), 'по'))"
@@ -154,25 +153,25 @@ of_values(
     f"ELSE {_CENTURY.format(*[y for _, y in V.CENTURIES], 1750)} END AS year_from, "
     f"CASE WHEN len({_YS}) >= 2 THEN ({_YS})[2] WHEN len({_YS}) = 1 THEN CASE WHEN {_UPTO} THEN ({_YS})[1] ELSE ({_YS})[1] + 50 END "
     f"ELSE {_CENTURY.format(*[y + 99 for _, y in V.CENTURIES], 1917)} END AS year_to",
-    year_from=T.period(t)[0], year_to=T.period(t)[1],
+    year_from=lambda t: T.period(t)[0], year_to=lambda t: T.period(t)[1],
 )
 of_values(
     "url_normalise", X.LINKS,
     "CASE WHEN starts_with(t, 'http') THEN t ELSE 'http://b.org' || t END AS url, regexp_replace(regexp_replace(t, '[#?].*$', ''), '/$', '') AS bare, "
     "(t <> '' AND NOT regexp_matches(t, '^(#|mailto:|javascript:)')) AS real",
-    url=T.absolute_url(t, "http://b.org"), bare=T.normal_url(t), real=T.real_href(t),
+    url=lambda t: T.absolute_url(t, "http://b.org"), bare=lambda t: T.normal_url(t), real=lambda t: T.real_href(t),
 )
 of_values(
     "kv_text_map", X.RECORDS,
     "coalesce(trim(list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '^Название:'))[-1][10:]), '') AS title, "
     "coalesce(trim(list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '^Автор:'))[-1][7:]), '') AS author, "
     "coalesce(trim(list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '^Шифр:'))[-1][6:]), '') AS shelf",
-    title=F.coalesce(F.element_at(T.pairs(t), "Название"), F.lit("")), author=F.coalesce(F.element_at(T.pairs(t), "Автор"), F.lit("")),
-    shelf=F.coalesce(F.element_at(T.pairs(t), "Шифр"), F.lit("")),
+    title=lambda t: F.coalesce(F.element_at(T.pairs(t), "Название"), F.lit("")), author=lambda t: F.coalesce(F.element_at(T.pairs(t), "Автор"), F.lit("")),
+    shelf=lambda t: F.coalesce(F.element_at(T.pairs(t), "Шифр"), F.lit("")),
 )
 of_values(
     "map_filter", X.RECORDS, "len(list_filter(string_split(t, chr(10)), lambda x: contains(x, ':') AND NOT starts_with(x, 'Год') AND NOT (starts_with(x, 'Шифр: 1') AND contains(t, 'Шифр: 2')))) AS n",
-    n=F.size(F.map_filter(T.pairs(t), lambda k, v: k != "Год")).cast("long"),
+    n=lambda t: F.size(F.map_filter(T.pairs(t), lambda k, v: k != "Год")).cast("long"),
 )
 
 
@@ -232,7 +231,10 @@ def max_combos_cap(spark, d):
 
 
 _OUTCOME = "CASE event_type WHEN 'error' THEN 'err' WHEN 'view' THEN 'empty' ELSE 'hit' END"
-EVENT_OUTCOME = F.when(F.col("event_type") == "error", "err").when(F.col("event_type") == "view", "empty").otherwise("hit")
+
+
+def event_outcome() -> Column:
+    return F.when(F.col("event_type") == "error", "err").when(F.col("event_type") == "view", "empty").otherwise("hit")
 
 
 def _streak_sql(counted: str, resets: str, limit: int) -> str:
@@ -250,12 +252,12 @@ def _grouped(spark: SparkSession, d: str) -> DataFrame:
 
 @query(_streak_sql("empty", "o = 'hit'", V.EMPTY_LIMIT))
 def empty_streak_cutoff(spark, d):
-    return S.streak_cutoff(_grouped(spark, d), ["grp"], ["event_id"], EVENT_OUTCOME, "empty", F.col("_outcome") == "hit", V.EMPTY_LIMIT)
+    return S.streak_cutoff(_grouped(spark, d), ["grp"], ["event_id"], event_outcome(), "empty", F.col("_outcome") == "hit", V.EMPTY_LIMIT)
 
 
 @query(_streak_sql("err", "o <> 'err'", 3))
 def error_streak_cutoff(spark, d):
-    return S.streak_cutoff(_grouped(spark, d), ["grp"], ["event_id"], EVENT_OUTCOME, "err", F.col("_outcome") != "err", 3)
+    return S.streak_cutoff(_grouped(spark, d), ["grp"], ["event_id"], event_outcome(), "err", F.col("_outcome") != "err", 3)
 
 
 @query(
@@ -283,7 +285,7 @@ _SLUGS = "(VALUES " + ", ".join(f"({X.literal(a)}, '{b}')" for a, b in V.PORTAL_
     f"OR id NOT IN (SELECT id FROM {X.sql_table(X.TITLES)}, {_SLUGS} WHERE contains(lower(t), left(stem, 5)))"
 )
 def region_slugs(spark, d):
-    named = F.array_compact(F.array(*[F.when(T.any_stem(t, (stem[:5],)), slug) for stem, slug in V.PORTAL_SLUGS]))
+    named = F.array_compact(F.array(*[F.when(T.any_stem(F.col("t"), (stem[:5],)), slug) for stem, slug in V.PORTAL_SLUGS]))
     every = F.array(*[F.lit(slug) for _, slug in V.PORTAL_SLUGS])
     return X.spark_table(spark, X.TITLES).select("id", F.explode(F.when(F.size(named) == 0, every).otherwise(named)).alias("slug"))
 
@@ -410,8 +412,8 @@ def completeness(spark, d):
 
 @query(f"SELECT {SQL_LANGUAGE} AS language, coalesce({SQL_LEVEL}, 'не определён') AS level, count(*) AS n FROM {TITLES} GROUP BY ALL")
 def value_counts(spark, d):
-    level = F.coalesce(T.admin_level(t), F.lit("не определён")).alias("level")
-    return titles(spark, d).groupBy(T.language(t).alias("language"), level).agg(F.count("*").alias("n"))
+    level = F.coalesce(T.admin_level(F.col("t")), F.lit("не определён")).alias("level")
+    return titles(spark, d).groupBy(T.language(F.col("t")).alias("language"), level).agg(F.count("*").alias("n"))
 
 
 @query("SELECT source, count(*) AS n, round(100.0 * count(*) / sum(count(*)) OVER (), 4) AS pct FROM documents GROUP BY source")
@@ -424,7 +426,7 @@ def share_of_total(spark, d):
 
 @query(f"SELECT count(*) AS total, count(*) FILTER (WHERE {SQL_FIX} <> t) AS changed FROM {TITLES}")
 def changed_rows(spark, d):
-    return titles(spark, d).agg(F.count("*").alias("total"), F.count_if(T.fix_title(t) != t).alias("changed"))
+    return titles(spark, d).agg(F.count("*").alias("total"), F.count_if(T.fix_title(F.col("t")) != F.col("t")).alias("changed"))
 
 
 @query(f"SELECT source, count(*) AS found, count(*) FILTER (WHERE cls = 'positive') AS pos, count(*) FILTER (WHERE cls <> 'positive') AS review FROM (SELECT source, {SQL_CLASS.replace('(t)', '(text)')} AS cls FROM documents) GROUP BY source")

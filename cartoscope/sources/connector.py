@@ -54,6 +54,12 @@ class CapturedPages(DataSource):
         return PageReader(self.options["path"])
 
 
+def register(spark: SparkSession) -> None:
+    """Make the format known to the session, with filters pushed to its reader."""
+    spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
+    spark.dataSource.register(CapturedPages)
+
+
 Search = Callable[[SparkSession, str], DataFrame]
 
 

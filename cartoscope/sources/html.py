@@ -12,7 +12,7 @@ from html.parser import HTMLParser
 
 import pandas as pd
 from pyspark import cloudpickle
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -93,6 +93,6 @@ def parse_pairs(html: str | None) -> dict[str, str]:
     return parser.pairs()
 
 
-@F.pandas_udf("map<string,string>")
+@F.pandas_udf(T.MapType(T.StringType(), T.StringType()))
 def label_values(html: pd.Series) -> pd.Series:
     return html.map(parse_pairs)
