@@ -36,7 +36,8 @@ class LineRuns:
     """Line counts of all batches added so far.
 
     ``min_docs`` documents make a line settled. Tables go to the session's
-    warehouse catalogue with files in the shared folder; ``drop`` removes them.
+    warehouse catalogue with files in the shared folder; ``drop`` takes them out
+    of the catalogue and leaves the files, which ``settled`` reads.
     """
 
     def __init__(self, spark: SparkSession, min_docs: int = 10):
@@ -44,11 +45,13 @@ class LineRuns:
         self.buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
         self.levels: dict[int, DataFrame] = {}
         self.names: list[str] = []
+        self.last = ""
 
     def _run(self, counts: DataFrame) -> DataFrame:
         name = f"line_run_{uuid.uuid4().hex}"
         writer = counts.select("h1", "h2", "n").write.bucketBy(self.buckets, "h1", "h2").sortBy("h1", "h2")
-        writer.option("path", fresh_path(self.spark, "line-run")).saveAsTable(name)
+        self.last = fresh_path(self.spark, "line-run")
+        writer.option("path", self.last).saveAsTable(name)
         self.names.append(name)
         return self.spark.table(name)
 
@@ -78,8 +81,18 @@ class LineRuns:
         return next(iter(self.levels.values()))
 
     def settled(self) -> DataFrame:
-        """Hashes of the lines found in at least ``min_docs`` documents."""
-        return self.compact().where(F.col("n") >= self.min_docs).select("h1", "h2")
+        """Hashes of the lines found in at least ``min_docs`` documents.
+
+        Read as plain files, not as a bucketed table: a probe then exchanges
+        both sides, and AQE can split a line that very many documents hold.
+        """
+        schema = self.compact().schema
+        return self.spark.read.schema(schema).parquet(self.last).where(F.col("n") >= self.min_docs).select("h1", "h2")
+
+    def drop(self) -> None:
+        for name in self.names:
+            self.spark.sql(f"DROP TABLE IF EXISTS {name}")
+        self.names, self.levels = [], {}
 
 
 def batches(docs: DataFrame, count: int) -> list[DataFrame]:
@@ -111,7 +124,9 @@ def drop_frequent_lines(docs: DataFrame, min_docs: int = 10, count: int = 4) ->
     runs = LineRuns(docs.sparkSession, min_docs)
     for batch in batches(docs.select("doc_id", "text"), count):
         runs.add(batch)
-    return without(docs, runs.settled())
+    settled = runs.settled()
+    runs.drop()
+    return without(docs, settled)
 
 
 def without(docs: DataFrame, settled: DataFrame) -> DataFrame:
