@@ -14,18 +14,23 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from .storage import forget, store
 
 DIMENSIONS = ("source", "lang", "topic")
-WORD = r"[^\x20\x09-\x0D]+"
+BLANKS = " \t\n\x0b\x0c\r"
+#: A word and the blanks after it: one character each leaves a text as long as its words are many.
+WORD = r"[^\x20\x09-\x0D]++[\x20\x09-\x0D]*+"
+MARKS, DIGITS = "#*$%&<>{}=;", "0123456789"
 
 
 def n_tokens(text: Column) -> Column:
-    return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
+    words = F.regexp_replace(F.ltrim(text, F.lit(BLANKS)), WORD, "x")
+    return F.coalesce(F.length(words), F.lit(0)).cast("long")
 
 
 def form_topic(text: Column) -> Column:
     """Topic of documents that carry none: the form their text takes."""
-    cut = F.length(text) - F.length(F.translate(text, "|", ""))
-    marks = F.length(text) - F.length(F.translate(text, "#*$%&<>{}=;", ""))
-    digits = F.length(text) - F.length(F.translate(text, "0123456789", ""))
+    signs = F.regexp_replace(text, rf"[^|{MARKS}{DIGITS}]++", "")
+    cut = F.length(signs) - F.length(F.translate(signs, "|", ""))
+    marks = F.length(signs) - F.length(F.translate(signs, MARKS, ""))
+    digits = F.length(signs) - F.length(F.translate(signs, DIGITS, ""))
     long = F.length(text)
     return (
         F.when(text.isNull() | (long == 0), "empty")
@@ -96,6 +101,7 @@ def mixed(
     power: float = 0.7,
     seed: int = 17,
     broadcast_cells: int = 20_000,
+    keep_text: bool = True,
 ) -> DataFrame:
     """``docs`` with topic, n_tokens, probability and sampled.
 
@@ -105,12 +111,15 @@ def mixed(
     their own. Documents without words, and cells without a target, have
     probability 0; the draw hashes doc_id, so equal ids are drawn alike. Cells
     go to every task only if there are at most ``broadcast_cells``; otherwise
-    they are joined by shuffle.
+    they are joined by shuffle. Without ``keep_text`` the result has no text,
+    and each text is read once: what is measured of it goes to the shared folder.
     """
     docs = docs.drop("n_tokens", "probability", "sampled")
     if "topic" not in docs.columns:
         docs = docs.withColumn("topic", form_topic(F.col("text")))
     docs = docs.withColumn("n_tokens", n_tokens(F.col("text")))
+    if not keep_text:
+        docs = store(docs.drop("text"), "measured")
     null = "\u0000"
     known = {f"_{d}": F.coalesce(F.col(d), F.lit(null)) for d in DIMENSIONS}
     cells = docs.groupBy(*[c.alias(k[1:]) for k, c in known.items()]).agg(F.sum("n_tokens").alias("tokens"))

@@ -20,7 +20,7 @@ def op1_language_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_proportional_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source", "lang")
-    return mixing.mixed(docs).select("doc_id", "source", "lang", "topic", "n_tokens", "probability", "sampled")
+    return mixing.mixed(docs, keep_text=False).select("doc_id", "source", "lang", "topic", "n_tokens", "probability", "sampled")
 
 
 def op3_simhash_golay(spark: SparkSession, sf_dir: str) -> DataFrame:
