@@ -78,34 +78,39 @@ def rule_values() -> dict[str, Column]:
     }
 
 
+def _ln_factorial(m: str) -> str:
+    """Exact to about 1e-12: a table of factorials up to 20, Stirling's series above."""
+    series = f"{m} * ln({m}) - {m} + 0.5D * ln(2 * pi() * {m}) + 1 / (12D * {m}) - 1 / (360D * pow({m}, 3)) + 1 / (1260D * pow({m}, 5))"
+    return f"if({m} <= 20, ln(double(factorial(int(least({m}, 20))))), {series})"
+
+
 def tail(n: str, k: str, rate: float) -> Column:
-    """P(Bin(n, rate) <= k) exactly; 1 where k > n * rate, which is never small.
+    """P(Bin(n, rate) <= k); 1 where k > n * rate, which is never small.
 
-    Terms are summed relative to the first, so nothing underflows while
-    n * rate stays under 700.
+    Terms are summed downwards from that of k, relative to it. Below n * rate
+    they fall faster and faster, so ten standard deviations hold all that a
+    double can show, and no n or k is too large.
     """
-    terms = f"""aggregate(sequence(1, greatest(cast({k} as int), 1)), struct(1D as term, 1D as sum),
-      (a, i) -> struct(if(i > {k}, 0D, a.term * ({n} - i + 1) / i * {rate / (1 - rate)!r}D) as term,
-                       a.sum + if(i > {k}, 0D, a.term * ({n} - i + 1) / i * {rate / (1 - rate)!r}D) as sum),
-      a -> exp({n} * ln(1 - {rate!r}D)) * a.sum)"""
-    return F.expr(f"if({k} > {n} * {rate!r}D, 1D, {terms})")
+    odds = f"{(1 - rate) / rate!r}D"
+    most = f"int(least({k}, 10 * sqrt({n} * {rate!r}D) + 50))"
+    falling = f"""aggregate(sequence(0, {most}), struct(1D as term, 0D as sum),
+      (a, j) -> struct(if({k} - j > 0, a.term * ({k} - j) / ({n} - {k} + j + 1) * {odds}, 0D) as term, a.sum + a.term as sum), a -> a.sum)"""
+    first = f"""exp({_ln_factorial(n)} - ({_ln_factorial(k)}) - ({_ln_factorial(f"({n} - {k})")})
+      + {k} * ln({rate!r}D) + ({n} - {k}) * ln(1 - {rate!r}D))"""
+    return F.expr(f"if({k} > {n} * {rate!r}D, 1D, least(1D, {first} * {falling}))")
 
 
-def certified(good: DataFrame, stratum: str, alpha: float = 0.02, delta: float = 0.05, sample_rows: int = 100_000) -> DataFrame:
+def certified(good: DataFrame, stratum: str, alpha: float = 0.02, delta: float = 0.05) -> DataFrame:
     """Strictest certified cutoff by stratum: a row (stratum, rule columns).
 
     ``good`` holds the base counts of labelled documents of good quality.
-    ``alpha`` is shared equally by the rules. ``sample_rows`` bounds, by a hash
-    of doc_id, the labelled rows tested per stratum. The number of tests counts
-    every stratum, rule and cutoff. A rule without a certified cutoff is null.
+    All of its rows are tested. ``alpha`` is shared equally by the rules. The
+    number of tests counts every stratum, rule and cutoff. A rule without a
+    certified cutoff is null.
     """
     rate = alpha / len(CUTOFFS)
-    sizes = good.groupBy(stratum).agg(F.count("*").alias("rows"))
-    draw = F.pmod(F.xxhash64(F.lit("holdout"), "doc_id"), F.lit(1 << 30)) / (1 << 30)
-    sample = good.join(F.broadcast(sizes), good[stratum].eqNullSafe(sizes[stratum])).drop(sizes[stratum])
-    sample = sample.where(draw * F.col("rows") < sample_rows)
     over = [F.count_if(rule_values()[r] > c).alias(f"{r}_{i}") for r, cs in CUTOFFS.items() for i, c in enumerate(cs)]
-    counts = store(sample.groupBy(stratum).agg(F.count("*").alias("n"), *over), "quality-tests")
+    counts = store(good.groupBy(stratum).agg(F.count("*").alias("n"), *over), "quality-tests")
     tests = counts.count() * sum(map(len, CUTOFFS.values()))
     best = []
     for r, cs in CUTOFFS.items():
