@@ -4,10 +4,11 @@
           | <s>text</s>                       assistant
           | <s>[ROLE]role[/ROLE]text</s>      any other role
 
-Each turn is rendered as it is and parsed back. If role or text come back
-different, the turn is rendered again with its control strings escaped (one
-backslash more after the first character, so any number of backslashes stays
-reversible), and parsed again until identical. The parser always takes one
+Neither role nor text may hold a control string: the parser refuses one. Each
+turn is rendered as it is and parsed back. If it is refused, or role or text
+come back different, the turn is rendered again with its control strings escaped
+(one backslash more after the first character, so any number of backslashes
+stays reversible), and parsed again until identical. The parser always takes one
 backslash off; text that only looks escaped therefore fails the first round
 trip and is escaped in turn.
 """
@@ -22,6 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 _ESCAPED = re.compile(r"(<(?=\\+/?s>)|\[(?=\\+/?(?:INST|ROLE)\]))\\")
+_CONTROL = re.compile(r"</?s>|\[/?(?:INST|ROLE)\]")
 _PLAIN = re.compile(r"(<(?=\\*/?s>)|\[(?=\\*/?(?:INST|ROLE)\]))")
 
 
@@ -42,10 +44,12 @@ def render(role: str, text: str) -> str:
 
 
 def parse(formatted: str, at: int = 0) -> tuple[str, str, int]:
-    """Role, text and end of the turn that begins at ``at``; ValueError if none does."""
+    """Role, text and end of the turn that begins at ``at``; ValueError if none does or a control string is in it."""
 
     def upto(mark: str, start: int) -> tuple[str, int]:
         end = formatted.index(mark, start)
+        if _CONTROL.search(formatted, start, end):
+            raise ValueError("a control string inside a turn")
         return unescape(formatted[start:end]), end + len(mark)
 
     if not formatted.startswith("<s>", at):
