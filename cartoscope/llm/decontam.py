@@ -2,8 +2,10 @@
 
 Words lose the punctuation at their ends and A-Z is lower-cased. Numbers, units
 after a number and capitalised words inside a sentence become typed
-placeholders. Runs of ``width`` template words of the benchmark (the whole item
-if it is shorter) are looked up by hash in every document. Hits of one document
+placeholders. A second template of the same words keeps the names, so that a
+copy in other case or with other sentence marks is the same template. Runs of
+``width`` template words of the benchmark (the whole item if it is shorter) are
+looked up by hash in every document. Hits of one document
 and item on one alignment are merged, and count only if the slots agree: one
 value in the item must always stand for one value in the document, and the
 reverse. A re-parameterised question is thus found, a chance mix of numbers not.
@@ -44,11 +46,11 @@ def _unit_hashes() -> np.ndarray:
     return _UNITS[0]
 
 
-def template(words: Words) -> tuple[np.ndarray, np.ndarray]:
-    """Kind of every word (0: literal) and the hash that stands for it."""
+def kinds(words: Words) -> np.ndarray:
+    """Kind of every word (0: literal)."""
     kind = np.zeros(len(words.doc), dtype=np.uint8)
     if not len(kind):
-        return kind, words.hash
+        return kind
     digits = np.concatenate([[0], np.cumsum(_DIGIT[words.data])])
     number = digits[words.end] > digits[words.start]
     first, second = words.raw[words.start], words.raw[np.minimum(words.start + 1, len(words.raw) - 1)]
@@ -64,7 +66,14 @@ def template(words: Words) -> tuple[np.ndarray, np.ndarray]:
     kind[capital & ~opens] = NAME
     kind[unit] = UNIT
     kind[number] = NUMBER
-    return kind, np.where(kind == LITERAL, words.hash, mix(kind.astype(np.uint64)))
+    return kind
+
+
+def templates(words: Words, kind: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Which words are placeholders and the hash that stands for each word: with
+    names as placeholders, then with names as they are."""
+    for literal in (kind == LITERAL, (kind == LITERAL) | (kind == NAME)):
+        yield ~literal, np.where(literal, words.hash, mix(kind.astype(np.uint64)))
 
 
 class Benchmark(NamedTuple):
@@ -81,7 +90,8 @@ def prepare(ids: list[int | None], texts: list[str | None], width: int) -> Bench
     slots: list[dict[int, int]] = [{} for _ in texts]
     found: dict[int, list[tuple[np.ndarray, np.ndarray, np.ndarray]]] = {}
     for words in scan(pa.array(texts, pa.string()), strip=True):
-        kind, hashes = template(words)
+        kind = kinds(words)
+        forms = list(templates(words, kind))
         cut = np.searchsorted(words.doc, np.arange(words.texts + 1))
         for i in range(words.texts):
             a, b = cut[i], cut[i + 1]
@@ -91,18 +101,37 @@ def prepare(ids: list[int | None], texts: list[str | None], width: int) -> Bench
             wide = min(int(n), width)
             if wide < 4:
                 continue
-            at, keys = windows_of(hashes[a:b], words.doc[a:b], wide)
-            plain = np.concatenate([[0], np.cumsum(kind[a:b] == LITERAL)])
-            good = 2 * (plain[at + wide] - plain[at]) >= wide
-            found.setdefault(wide, []).append((keys[good], np.full(good.sum(), item), at[good]))
+            for slot, hashes in forms:
+                at, keys = windows_of(hashes[a:b], words.doc[a:b], wide)
+                good = 2 * _inside(slot[a:b], at, wide) <= wide
+                found.setdefault(wide, []).append((keys[good], np.full(good.sum(), item), at[good]))
     ready = {}
     for wide, parts in found.items():
         keys, item, at = (np.concatenate(x) for x in zip(*parts, strict=True))
-        order = np.argsort(keys, kind="stable")
-        ready[wide] = keys[order], item[order], at[order]
+        order = np.lexsort((at, item, keys))
+        keys, item, at = keys[order], item[order], at[order]
+        new = np.ones(len(keys), dtype=bool)
+        new[1:] = (keys[1:] != keys[:-1]) | (item[1:] != item[:-1]) | (at[1:] != at[:-1])
+        ready[wide] = keys[new], item[new], at[new]
     return Benchmark(np.array(ids, dtype=object), length, slots, ready)
 
 
+def _inside(marked: np.ndarray, at: np.ndarray, wide: int) -> np.ndarray:
+    """How many marked words lie in each window of ``wide`` words from ``at``."""
+    sums = np.concatenate([[0], np.cumsum(marked)])
+    return sums[at + wide] - sums[at]
+
+
+def _own_windows(words: Words, kind: np.ndarray, wide: int) -> tuple[np.ndarray, np.ndarray]:
+    """First word and hash of each window of the texts, in either template; once where both agree."""
+    (_, typed), (_, named) = templates(words, kind)
+    at, keys = windows_of(typed, words.doc, wide)
+    other = np.flatnonzero(_inside(kind == NAME, at, wide))
+    if not len(other):
+        return at, keys
+    return np.concatenate([at, at[other]]), np.concatenate([keys, windows_of(named, words.doc, wide)[1][other]])
+
+
 class Match(NamedTuple):
     doc: int
     item: int
@@ -113,10 +142,10 @@ class Match(NamedTuple):
 def matches(column: pa.Array, bench: Benchmark, width: int, long_run: int, share: float) -> Iterator[Match]:
     """Leaks in a column of texts, in order of document and item."""
     for words in scan(column, strip=True):
-        kind, hashes = template(words)
+        kind = kinds(words)
         hits: list[tuple[np.ndarray, ...]] = []
         for wide, (keys, items, places) in bench.windows.items():
-            at, own = windows_of(hashes, words.doc, wide)
+            at, own = _own_windows(words, kind, wide)
             lo = np.searchsorted(keys, own)
             there = np.flatnonzero(keys[np.minimum(lo, len(keys) - 1)] == own) if len(keys) else np.zeros(0, np.int64)
             if not len(there):
@@ -180,7 +209,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, width: int = 8, long_run: int =
     of it, on one alignment, with consistent slots; n_changed slots have
     another value. Each document is read once per block of the benchmark.
     Null and empty texts leak nothing; items of fewer than four words and items
-    whose windows are mostly placeholders match nothing. Repeated documents
+    whose windows are mostly numbers and units match nothing. Repeated documents
     repeat their rows. Without a benchmark there are no rows.
     """
 

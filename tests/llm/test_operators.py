@@ -224,6 +224,8 @@ def test_templates(spark):
     assert leak(spark, around.format(torn)) == []
     assert leak(spark, "twelve words that have nothing to do with the benchmark at all today") == []
     assert [x[0] for x in leak(spark, "x y short one here today z")] == [2]
+    for changed in (str.lower, str.upper, str.title):
+        assert [x[0] for x in leak(spark, around.format(changed(ITEM)))] == [1]
 
 
 def test_leaks_against_search(spark, docs):
@@ -269,7 +271,7 @@ def test_chat_texts_hold_no_control_string(role):
     marks = r"</?s>|\[/?(?:INST|ROLE)\]"
     assert re.findall(marks, chat.format_turn(role, probe)) == re.findall(marks, chat.render(role, ""))
     assert chat.format_turn(role, "plain < [text] \\") == chat.render(role, "plain < [text] \\")
-    if role != "assistant":  # whose raw text would end at its first </s>
+    if role == "user":  # other raw texts end at their first </s>
         with pytest.raises(ValueError):
             chat.parse(chat.render(role, probe))
 
