@@ -207,8 +207,8 @@ def tokens(c: Column, least: int = 4, letters: str = "а-яё") -> Column:
     return F.regexp_extract_all(F.lower(text(c)), F.lit(f"[{letters}]{{{least},}}"), F.lit(0))
 
 
-def absolute_url(href: Column, base: str) -> Column:
-    return F.when(F.startswith(href, F.lit("http")), href).otherwise(F.concat(F.lit(base), href))
+def absolute_url(href: Column, base: str | Column) -> Column:
+    return F.when(F.startswith(href, F.lit("http")), href).otherwise(F.concat(base if isinstance(base, Column) else F.lit(base), href))
 
 
 def normal_url(url: Column) -> Column:

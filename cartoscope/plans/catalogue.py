@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from .. import vocabulary as V
 from ..functions import text as T
 from ..operators import curation as C, search as S
-from ..sources import html as H
+from ..sources import html as H, libraries as L
 from . import fixtures as X
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -455,6 +455,35 @@ def href_filter(spark, d):
     return H.links(table(spark, d, "pages")).where(T.real_href(F.col("href")) & F.col("href").rlike("^/[a-zA-Z]{4,}")).select("page_id", "href")
 
 
+_LINKS = r"""(SELECT page_id, url AS page, pos, href, trim(regexp_replace(regexp_replace(l, '<[^>]*>', ' ', 'g'), '\s+', ' ', 'g')) AS title FROM (
+  SELECT page_id, url, unnest(hs) AS href, unnest(ls) AS l, unnest(range(len(hs))) AS pos FROM (SELECT page_id, url, regexp_extract_all(html, '<a\s[^>]*href="([^"]*)"', 1) AS hs,
+  regexp_extract_all(html, '(?s)<a\s[^>]*href="[^"]*"[^>]*>(.*?)</a>', 1) AS ls FROM pages)))"""
+_ABSOLUTE = "CASE WHEN starts_with(href, 'http') THEN href ELSE regexp_extract(page, '^([a-z]+://[^/]+)', 1) || href END"
+_REAL = r"href <> '' AND NOT regexp_matches(href, '^(#|mailto:|javascript:)') AND title <> ''"
+
+
+def captured(spark: SparkSession, d: str, source: str) -> DataFrame:
+    return table(spark, d, "pages").select(F.lit(source).alias("source_id"), "url", "html")
+
+
+@query(f"SELECT page_id, CAST(pos AS INTEGER) AS pos, href, title FROM {_LINKS}")
+def link_texts(spark, d):
+    return L.link_rows(table(spark, d, "pages")).select("page_id", "pos", "href", "title")
+
+
+@query(f"SELECT 'rgo' AS library_id, title, {_ABSOLUTE} AS url FROM {_LINKS} WHERE {_REAL}")
+def source_search(spark, d):
+    return L.search(captured(spark, d, "rgo"), "rgo").select("library_id", "title", "url")
+
+
+@query(
+    f"SELECT 'aonb' AS library_id, url, arg_min(title, (page, pos)) AS title FROM (SELECT *, {_ABSOLUTE} AS url FROM {_LINKS} WHERE {_REAL}) "
+    "WHERE contains(lower(title), 'nicht') OR contains(lower(title), 'tion') GROUP BY url"
+)
+def source_search_asked(spark, d):
+    return L.search(captured(spark, d, "aonb"), "aonb", "Nicht die tion").select("library_id", "url", "title")
+
+
 @query("SELECT event_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events")
 def json_props(spark, d):
     return table(spark, d, "events").select("event_id", F.from_json("props", "k long").k.alias("k"))

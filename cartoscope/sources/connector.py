@@ -60,7 +60,7 @@ def register(spark: SparkSession) -> None:
     spark.dataSource.register(CapturedPages)
 
 
-Search = Callable[[SparkSession, str], DataFrame]
+Search = Callable[..., DataFrame]
 
 
 class Registry:
@@ -77,16 +77,17 @@ class Registry:
     def available(self) -> list[str]:
         return list(self._found)
 
-    def search(self, spark: SparkSession, source: str, query: str) -> DataFrame:
+    def search(self, spark: SparkSession, source: str, query: str, **limits) -> DataFrame:
+        """Records of one source; ``limits`` (year_from, year_to) go to its search."""
         if source not in self._found:
             raise KeyError(source)
-        return self._found[source][1](spark, query)
+        return self._found[source][1](spark, query, **limits)
 
-    def search_all(self, spark: SparkSession, names: list[str], query: str) -> DataFrame:
+    def search_all(self, spark: SparkSession, names: list[str], query: str, **limits) -> DataFrame:
         """Union of the sources' records; an unknown name is an error before anything runs."""
         if unknown := sorted(set(names) - set(self._found)):
             raise KeyError(", ".join(unknown))
-        first, *rest = [self.search(spark, n, query) for n in names]
+        first, *rest = [self.search(spark, n, query, **limits) for n in names]
         for df in rest:
             first = first.unionByName(df, allowMissingColumns=True)
         return first
