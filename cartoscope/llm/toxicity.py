@@ -1,12 +1,15 @@
 """Toxicity from the nearest labelled examples by exact TF-IDF cosine.
 
 A bounded sample of labelled texts is the example set. Its vocabulary is every
-word in at least ``min_docs`` examples whose use differs between the labels;
-document frequencies of that vocabulary are counted over the whole corpus. The
-examples form a block-max inverted index: postings lie in blocks of examples,
-and each word knows its largest weight in each block. A query visits blocks by
-falling upper bound and stops when no block can reach its k-th neighbour, so
-the neighbours are exact. Votes are weighted by similarity and by how common
+word of the examples, without the punctuation at its ends; document frequencies
+of that vocabulary are counted over the whole corpus. A word whose log odds
+differ between the labels by z standard errors weighs 1 + z^2 times its TF-IDF;
+no word is left out. The examples form a
+block-max inverted index: a word's postings lie in blocks of examples, and each
+word knows its largest weight in each block that has it. A query visits blocks
+by falling upper bound and stops when no block can reach its k-th neighbour, so
+the neighbours are exact. Words that no example has are in no product and do
+not count in a text's length. Votes are weighted by similarity and by how common
 the label is outside the sample, and shrink to the base rate.
 """
 
@@ -23,24 +26,27 @@ from .langid import held_out
 from .textscan import scan
 
 BLOCK = 64
+FIRST = 4  # blocks visited before bounds are compared
 
 
 class Index(NamedTuple):
     words: np.ndarray  # sorted hashes of the vocabulary
-    idf: np.ndarray
+    idf: np.ndarray  # times one plus z squared
     ids: np.ndarray  # doc_id of each example
     label: np.ndarray
-    start: np.ndarray  # postings of (block, word): start[block * words + word] ...
+    cells: np.ndarray  # cells (word, block) of word: cells[word] to cells[word + 1]
+    block: np.ndarray
+    most: np.ndarray  # largest weight in each cell
+    start: np.ndarray  # postings of cell: start[cell] to start[cell + 1]
     example: np.ndarray
     weight: np.ndarray
-    most: np.ndarray  # (block, word): the largest weight
     rate: float  # share of label 1 among all labelled rows to learn from
     odds: float  # weight of a label-1 vote against a label-0 vote
 
 
 def bags(column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """Place, distinct word hashes and counts of each text."""
-    for words in scan(column):
+    for words in scan(column, strip=True):
         cut = np.searchsorted(words.doc, np.arange(words.texts + 1))
         for i in range(words.texts):
             yield words.first + i, *np.unique(words.hash[cut[i] : cut[i + 1]], return_counts=True)
@@ -66,17 +72,22 @@ def _sample_bags(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def select_words(rows: list[tuple[np.ndarray, int]], min_docs: int, least_z: float) -> np.ndarray:
-    """Words in ``min_docs`` examples or more whose log odds between the labels differ by ``least_z`` standard errors."""
+def vocabulary(rows: list[tuple[np.ndarray, int]]) -> tuple[np.ndarray, np.ndarray]:
+    """Every word of the examples, and by how many standard errors its log odds differ between the labels."""
     if not rows:
-        return np.zeros(0, np.uint64)
+        return np.zeros(0, np.uint64), np.zeros(0)
     words, at = np.unique(np.concatenate([r[0] for r in rows]), return_inverse=True)
     label = np.repeat([r[1] for r in rows], [len(r[0]) for r in rows])
     ones, every = np.bincount(at, weights=label, minlength=len(words)), np.bincount(at, minlength=len(words))
     total = np.array([len(rows), sum(r[1] for r in rows)], dtype=np.float64)
     a, b = ones + 0.5, every - ones + 0.5
     z = (np.log(a / (total[1] + 1)) - np.log(b / (total[0] - total[1] + 1))) / np.sqrt(1 / a + 1 / b)
-    return words[(every >= min_docs) & (np.abs(z) >= least_z)]
+    return words, np.abs(z)
+
+
+def _ranges(start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """start, start + 1, ... for each of ``size``, one range after the other."""
+    return np.repeat(start - np.cumsum(size) + size, size) + np.arange(size.sum())
 
 
 def build(rows: list[tuple], words: np.ndarray, idf: np.ndarray, rate: float, odds: float) -> Index:
@@ -84,36 +95,57 @@ def build(rows: list[tuple], words: np.ndarray, idf: np.ndarray, rate: float, od
     vectors = [_vector(r[2], r[3], words, idf) for r in rows]
     lead = [(r[1], int(p[np.argmax(w)]) if len(p) else -1, r[0]) for r, (p, w) in zip(rows, vectors, strict=True)]
     order = sorted(range(len(rows)), key=lead.__getitem__)
-    blocks = -(-len(rows) // BLOCK)
+    blocks = max(1, -(-len(rows) // BLOCK))
     sizes = [len(vectors[i][0]) for i in order]
-    example = np.repeat(np.arange(len(rows)), sizes)
+    example = np.repeat(np.arange(len(rows), dtype=np.int32), sizes)
     word = np.concatenate([vectors[i][0] for i in order]) if order else np.zeros(0, np.int64)
     weight = np.concatenate([vectors[i][1] for i in order]) if order else np.zeros(0)
-    slot = example // BLOCK * len(words) + word
-    by = np.lexsort((example, slot))
-    example, weight, slot = example[by], weight[by], slot[by]
-    start = np.searchsorted(slot, np.arange(blocks * len(words) + 1))
-    most = np.zeros(blocks * len(words))
-    np.maximum.at(most, slot, weight)
-    return Index(words, idf, np.array([rows[i][0] for i in order], dtype=np.int64), np.array([rows[i][1] for i in order], dtype=np.int64), start, example, weight, most.reshape(blocks, len(words)), rate, odds)
+    by = np.lexsort((example, word))
+    example, word, weight = example[by], word[by], weight[by]
+    slots, start = np.unique(word * blocks + example // BLOCK, return_index=True)
+    most = np.maximum.reduceat(weight, start) if len(start) else np.zeros(0)
+    cells = np.searchsorted(slots, np.arange(len(words) + 1) * blocks)
+    return Index(
+        words, idf, np.array([rows[i][0] for i in order], dtype=np.int64), np.array([rows[i][1] for i in order], dtype=np.int64),
+        cells, slots % blocks, most, np.append(start, len(word)), example, weight, rate, odds,
+    )
+
+
+def _cosines(index: Index, start: np.ndarray, end: np.ndarray, w: np.ndarray) -> np.ndarray:
+    """Sums over runs of postings, by example."""
+    pick = _ranges(start, end - start)
+    return np.bincount(index.example[pick], weights=index.weight[pick] * np.repeat(w, end - start))
 
 
 def nearest(index: Index, at: np.ndarray, w: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """Examples with the k largest positive cosines, largest first (ties by place), and those."""
-    bound = index.most[:, at] @ w if len(at) else np.zeros(0)
-    found, scores = np.zeros(0, np.int64), np.zeros(0)
-    for block in np.argsort(-bound, kind="stable"):
-        if bound[block] <= 0 or len(scores) >= k and bound[block] < scores[k - 1] - 1e-12:
-            break
-        slot = block * len(index.words) + at
-        a, n = index.start[slot], index.start[slot + 1] - index.start[slot]
-        pick = np.repeat(a - np.cumsum(n) + n, n) + np.arange(n.sum())
-        cosine = np.bincount(index.example[pick] - block * BLOCK, weights=index.weight[pick] * np.repeat(w, n), minlength=BLOCK)
+    """Examples with the k largest positive cosines, largest first (ties by place), and those.
+
+    The blocks of largest bound come first; where the bounds leave many others,
+    whole words are read, which is cheaper than their cells.
+    """
+    n = index.cells[at + 1] - index.cells[at]
+    cell, by = _ranges(index.cells[at], n), np.repeat(w, n)
+    block = index.block[cell]
+    bound = np.bincount(block, weights=index.most[cell] * by)
+    todo = np.zeros(len(bound), dtype=bool)
+    todo[np.argsort(-bound, kind="stable")[:FIRST]] = True
+    found, scores, left = np.zeros(0, np.int64), np.zeros(0), bound > 0
+    while (todo & left).any():
+        if 4 * np.count_nonzero(todo & left) > len(bound) > FIRST:
+            cosine, found, scores = _cosines(index, index.start[index.cells[at]], index.start[index.cells[at + 1]], w), found[:0], scores[:0]
+            left[:] = False
+        else:
+            own = cell[mine := np.flatnonzero((todo & left)[block])]
+            cosine = _cosines(index, index.start[own], index.start[own + 1], by[mine])
+            left &= ~todo
         there = np.flatnonzero(cosine > 0)
-        found, scores = np.concatenate([found, there + block * BLOCK]), np.concatenate([scores, cosine[there]])
-        order = np.lexsort((found, -scores))[:k]
-        found, scores = found[order], scores[order]
-    return found, scores
+        found, scores = np.concatenate([found, there]), np.concatenate([scores, cosine[there]])
+        if len(scores) > k:
+            least = np.partition(scores, len(scores) - k)[len(scores) - k]
+            found, scores = found[scores >= least], scores[scores >= least]
+        todo = bound >= (scores.min() - 1e-12 if len(scores) >= k else 0)
+    best = np.lexsort((found, -scores))[:k]
+    return found[best], scores[best]
 
 
 def vote(index: Index, found: np.ndarray, scores: np.ndarray, prior: float) -> float:
@@ -122,7 +154,7 @@ def vote(index: Index, found: np.ndarray, scores: np.ndarray, prior: float) -> f
     return float((for_it + prior * index.rate) / (for_it + against + prior))
 
 
-def fit(docs: DataFrame, labels: DataFrame, fit_rows: int = 4000, min_docs: int = 4, least_z: float = 3.0, folds: int = 4) -> Index:
+def fit(docs: DataFrame, labels: DataFrame, fit_rows: int = 4000, folds: int = 4) -> Index:
     """Index over a sample of the labelled rows that are not held out.
 
     ``fit_rows`` bounds the sample: about a quarter label 1 and three quarters
@@ -145,7 +177,7 @@ def fit(docs: DataFrame, labels: DataFrame, fit_rows: int = 4000, min_docs: int
         for d, y, h, n in zip(*(got.column(c).to_pylist() for c in ("doc_id", "toxic", "words", "counts")), strict=True)
     ]
     rows.sort(key=lambda r: (r[0], len(r[2])))
-    words = select_words([(r[2], r[1]) for r in rows], min_docs, least_z)
+    words, z = vocabulary([(r[2], r[1]) for r in rows])
     shared = spark.sparkContext.broadcast(words)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -153,22 +185,22 @@ def fit(docs: DataFrame, labels: DataFrame, fit_rows: int = 4000, min_docs: int
         seen = np.zeros(len(known) + 1, dtype=np.int64)
         for batch in batches:
             every += batch.num_rows
-            for w in scan(batch.column(0)):
+            for w in scan(batch.column(0), strip=True):
                 if not len(known) or not len(w.hash):
                     continue
                 at = np.minimum(np.searchsorted(known, w.hash), len(known) - 1)
                 mine = known[at] == w.hash
                 pairs = np.unique(w.doc[mine] * len(known) + at[mine])
-                seen[: len(known)] += np.bincount(pairs % len(known), minlength=len(known))
+                hit, n = np.unique(pairs % len(known), return_counts=True)
+                seen[hit] += n
         seen[-1] = every
         there = np.flatnonzero(seen)
         yield pa.RecordBatch.from_arrays([pa.array(there), pa.array(seen[there])], names=["word", "n"])
 
-    counts = docs.select("text").mapInArrow(count, "word long, n long").groupBy("word").agg(F.sum("n").alias("n")).collect()
+    counts = docs.select("text").mapInArrow(count, "word long, n long").groupBy("word").agg(F.sum("n").alias("n")).toArrow()
     df = np.zeros(len(words) + 1)
-    for r in counts:
-        df[r["word"]] = r["n"]
-    idf = np.log((1 + df[-1]) / (1 + df[:-1]))
+    df[counts.column("word").to_numpy()] = counts.column("n").to_numpy()
+    idf = np.log((1 + df[-1]) / (1 + df[:-1])) * (1 + z * z)
     rate = ones / total if total else 0.0
     in_sample = sum(r[1] == 1 for r in rows)
     odds = (rate / (1 - rate)) * (len(rows) - in_sample) / in_sample if 0 < in_sample < len(rows) and 0 < rate < 1 else 1.0
@@ -178,7 +210,7 @@ def fit(docs: DataFrame, labels: DataFrame, fit_rows: int = 4000, min_docs: int
 def score(docs: DataFrame, index: Index, k: int = 25, prior: float = 0.25, evidence: int = 5) -> DataFrame:
     """doc_id, score and evidence (doc_ids of the nearest examples) of each row.
 
-    Null and empty texts, and texts without a word of the vocabulary, have no
+    Null and empty texts, and texts that share no word with an example, have no
     neighbour: they score the base rate. Without labelled rows it is 0. Null
     and repeated doc_ids are kept.
     """

@@ -506,6 +506,17 @@ def test_toxicity_learns(spark):
     assert all((r["score"] >= 0.3) == (r["doc_id"] % 8 == 0) for r in scored)
 
 
+def test_copies_of_examples_meet_them(spark):
+    texts = {i: f"only{i} once{i}, here{i}" for i in range(60)}
+    labels = spark.createDataFrame([(i, int(i % 4 == 0)) for i in texts], "doc_id long, toxic int")
+    index = toxicity.fit(spark.createDataFrame(list(texts.items()), "doc_id long, text string"), labels)
+    learnt = dict(zip(index.ids.tolist(), index.label.tolist(), strict=True))
+    copies = spark.createDataFrame([(1000 + i, f"({texts[i].upper()})") for i in learnt], "doc_id long, text string")
+    for r in toxicity.score(copies, index).collect():
+        assert r["evidence"] == [r["doc_id"] - 1000]
+        assert (r["score"] >= 0.3) == (learnt[r["doc_id"] - 1000] == 1)
+
+
 def test_toxicity_odd(spark, odd, empty):
     labels = spark.createDataFrame([(3, 1), (4, 0), (None, 1), (5, None)], "doc_id long, toxic int")
     assert toxicity.score(odd, toxicity.fit(odd, labels)).where("score between 0 and 1").count() == odd.count()
