@@ -47,8 +47,9 @@ def fingerprint(text: str | None) -> int:
 
 def _fingerprints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        found = np.fromiter((fingerprint(t.as_py()) for t in batch.column(1)), dtype=np.uint64, count=batch.num_rows)
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found.view(np.int64))], names=["doc_id", "fp"])
+        *others, texts = batch.columns
+        found = np.fromiter((fingerprint(t.as_py()) for t in texts), dtype=np.uint64, count=batch.num_rows)
+        yield pa.RecordBatch.from_arrays([*others, pa.array(found.view(np.int64))], names=[*batch.schema.names[:-1], "fp"])
 
 
 def golay_table() -> np.ndarray:
@@ -145,6 +146,30 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     raise RuntimeError(f"components did not settle in {rounds} rounds")
 
 
+def _least(marked: DataFrame, key: Column, dense: int) -> DataFrame:
+    """The least ``key`` in the component of each fingerprint: columns of, least."""
+    groups = store(marked.groupBy("fp").agg(F.min(key).alias("least")), "simhash-groups")
+    roots = components(links(groups.select("fp"), dense))
+    rooted = groups.join(roots, groups.fp == roots.node, "left").select("fp", F.coalesce("root", "fp").alias("root"), "least")
+    ids = rooted.groupBy("root").agg(F.min("least").alias("least"))
+    return rooted.drop("least").join(ids, "root").select(F.col("fp").alias("of"), "least")
+
+
+def one_each(docs: DataFrame, dense: int = 64) -> DataFrame:
+    """One row of each component of near duplicates, with the columns of ``docs``.
+
+    It is the row with the least doc_id, then text hash; a null doc_id comes
+    last. Rows are told apart by a number that is written down with them, so
+    repeated and null doc_ids take no other row along.
+    """
+    rows = store(docs.withColumn("_row", F.monotonically_increasing_id()), "simhash-rows")
+    marked = rows.select("_row", "doc_id", F.xxhash64("text").alias("hash"), "text").mapInArrow(_fingerprints, "_row long, doc_id long, hash long, fp long")
+    marked = store(marked, "simhash")
+    known = _least(marked, F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "hash", "_row"), dense)
+    gone = marked.join(known, marked.fp == known.of).where(F.col("_row") != F.col("least._row")).select("_row")
+    return rows.join(gone, "_row", "left_anti").select(*docs.columns)
+
+
 def near_duplicates(docs: DataFrame, dense: int = 64) -> DataFrame:
     """doc_id, fingerprint (16 hex digits), component_id for each row of ``docs``.
 
@@ -155,10 +180,6 @@ def near_duplicates(docs: DataFrame, dense: int = 64) -> DataFrame:
     id, whose component_id is then null. Repeated rows stay repeated.
     """
     marked = store(docs.select(F.col("doc_id"), "text").mapInArrow(_fingerprints, "doc_id long, fp long"), "simhash")
-    groups = store(marked.groupBy("fp").agg(F.min("doc_id").alias("least")), "simhash-groups")
-    roots = components(links(groups.select("fp"), dense))
-    rooted = groups.join(roots, groups.fp == roots.node, "left").select("fp", F.coalesce("root", "fp").alias("root"), "least")
-    ids = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    known = rooted.join(ids, "root").select(F.col("fp").alias("of"), "component_id")
+    known = _least(marked, F.col("doc_id"), dense).withColumnRenamed("least", "component_id")
     hexed = F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint")
     return marked.join(known, marked.fp == known.of).select("doc_id", hexed, "component_id")

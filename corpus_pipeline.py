@@ -23,15 +23,12 @@ def identified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def deduplicated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate group: the one with the least doc_id.
+    """One row of each near-duplicate group: the one with the least doc_id.
 
-    Rows with a null doc_id stay unless their group has an id. Of rows that
-    repeat a doc_id, equal ones are one.
+    A null doc_id comes after all others; of rows that repeat a doc_id, the one
+    with the least text hash stays.
     """
-    groups = simhash.near_duplicates(docs)
-    gone = groups.where(F.col("doc_id").isNull() & F.col("component_id").isNotNull() | (F.col("doc_id") != F.col("component_id")))
-    gone = gone.select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, docs.doc_id.eqNullSafe(F.col("_gone")), "left_anti")
+    return simhash.one_each(docs)
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

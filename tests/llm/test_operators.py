@@ -544,3 +544,12 @@ def test_pipeline_stages(spark):
             assert after.columns == docs.columns
             kept = spark.createDataFrame(after.collect(), docs.schema)
     assert {"shard", "slot"} <= set(after.columns)
+
+
+def test_dedup_goes_by_row(spark):
+    import corpus_pipeline
+
+    one, two, three, four = (" ".join(f"{w}{i}" for i in range(40)) for w in "abcd")
+    rows = [(1, one), (None, one), (None, two), (5, one), (5, three), (7, four), (7, four), (None, two)]
+    got = corpus_pipeline.deduplicated(spark, spark.createDataFrame(rows, "doc_id long, text string"), SF).collect()
+    assert sorted((tuple(r) for r in got), key=str) == sorted([(1, one), (None, two), (5, three), (7, four)], key=str)
