@@ -3,7 +3,9 @@
 Words lose the punctuation at their ends and A-Z is lower-cased. Numbers, units
 after a number and capitalised words inside a sentence become typed
 placeholders. A second template of the same words keeps the names, so that a
-copy in other case or with other sentence marks is the same template. Runs of
+copy in other case or with other sentence marks is the same template. Where
+more than half of a run is placeholders in both, and in items of under four
+words, the words themselves count. Runs of
 ``width`` template words of the benchmark (the whole item if it is shorter) are
 looked up by hash in every document. Hits of one document
 and item on one alignment are merged, and count only if the slots agree: one
@@ -99,12 +101,16 @@ def prepare(ids: list[int | None], texts: list[str | None], width: int) -> Bench
             length[item] = n
             slots[item] = {int(p): int(words.hash[a + p]) for p in np.flatnonzero(kind[a:b])}
             wide = min(int(n), width)
-            if wide < 4:
+            if not wide:
                 continue
-            for slot, hashes in forms:
+            typed = np.zeros(n - wide + 1, dtype=bool)  # windows that a template takes
+            for slot, hashes in forms if wide >= 4 else ():
                 at, keys = windows_of(hashes[a:b], words.doc[a:b], wide)
                 good = 2 * _inside(slot[a:b], at, wide) <= wide
+                typed |= good
                 found.setdefault(wide, []).append((keys[good], np.full(good.sum(), item), at[good]))
+            at, keys = windows_of(words.hash[a:b], words.doc[a:b], wide)
+            found.setdefault(wide, []).append((keys[~typed], np.full((~typed).sum(), item), at[~typed]))
     ready = {}
     for wide, parts in found.items():
         keys, item, at = (np.concatenate(x) for x in zip(*parts, strict=True))
@@ -123,13 +129,15 @@ def _inside(marked: np.ndarray, at: np.ndarray, wide: int) -> np.ndarray:
 
 
 def _own_windows(words: Words, kind: np.ndarray, wide: int) -> tuple[np.ndarray, np.ndarray]:
-    """First word and hash of each window of the texts, in either template; once where both agree."""
+    """First word and hash of each window of the texts, in either template and word for word; once where they agree."""
     (_, typed), (_, named) = templates(words, kind)
     at, keys = windows_of(typed, words.doc, wide)
-    other = np.flatnonzero(_inside(kind == NAME, at, wide))
-    if not len(other):
-        return at, keys
-    return np.concatenate([at, at[other]]), np.concatenate([keys, windows_of(named, words.doc, wide)[1][other]])
+    names, values = _inside(kind == NAME, at, wide) > 0, _inside((kind == NUMBER) | (kind == UNIT), at, wide) > 0
+    out = [(at, keys)]
+    for hashes, there in ((named, names), (words.hash, values)):
+        if there.any():
+            out.append((at[there], windows_of(hashes, words.doc, wide)[1][there]))
+    return tuple(np.concatenate(x) for x in zip(*out, strict=True))
 
 
 class Match(NamedTuple):
@@ -208,8 +216,9 @@ def leaks(docs: DataFrame, benchmark: DataFrame, width: int = 8, long_run: int =
     A leak covers at least ``long_run`` template words of an item or ``share``
     of it, on one alignment, with consistent slots; n_changed slots have
     another value. Each document is read once per block of the benchmark.
-    Null and empty texts leak nothing; items of fewer than four words and items
-    whose windows are mostly numbers and units match nothing. Repeated documents
+    Null and empty texts leak nothing. Items of fewer than four words and
+    windows that are mostly numbers and units are matched word for word; an item
+    of one word is in every document that has the word. Repeated documents
     repeat their rows. Without a benchmark there are no rows.
     """
 

@@ -228,6 +228,14 @@ def test_templates(spark):
         assert [x[0] for x in leak(spark, around.format(changed(ITEM)))] == [1]
 
 
+def test_literal_windows(spark):
+    numbers = "3 kg 17 m 25 cm 4 8 15 16 23 42"
+    bench = spark.createDataFrame([(1, numbers), (2, "square root two"), (3, "12 * 12 = 144"), (4, "one plain word then 1 2 3 4 5 6 7 8 9 10 11 12")], "item_id long, text string")
+    texts = [f"before it {numbers} after it", numbers.replace("25", "26"), "the square root, two of them", "square root of two", "so 12 * 12 = 144 is", "so 12 * 13 = 156 is", "then 1 2 3 4 5 6 7 8 9 10 11 12", "then 2 1 4 3 6 5 8 7 10 9 12 11"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert sorted((r["doc_id"], r["item_id"]) for r in decontam.leaks(docs, bench).collect()) == [(0, 1), (2, 2), (4, 3), (6, 4)]
+
+
 def test_leaks_against_search(spark, docs):
     bench = spark.read.parquet(f"{SF}/benchmark.parquet")
     flat = {r["doc_id"]: " ".join(r["text"].lower().split()) for r in docs.collect()}
