@@ -9,8 +9,8 @@ words, the words themselves count. Runs of
 ``width`` template words of the benchmark (the whole item if it is shorter) are
 looked up by hash in every document. Hits of one document
 and item on one alignment are merged, and count only if the slots agree: one
-value in the item must always stand for one value in the document, and the
-reverse. A re-parameterised question is thus found, a chance mix of numbers not.
+value in the item must always stand for one value in the document; two values of
+the item may have got the same one. A re-parameterised question is thus found.
 """
 
 from __future__ import annotations
@@ -186,16 +186,15 @@ def matches(column: pa.Array, bench: Benchmark, width: int, long_run: int, share
 
 
 def _consistent(covered: np.ndarray, shift: int, slots: dict[int, int], hashes: np.ndarray) -> int | None:
-    """Slots whose value differs, or None if a value stands for two."""
+    """Slots whose value differs, or None if a value of the item became two."""
     there: dict[int, int] = {}
-    back: dict[int, int] = {}
     changed = 0
     for place in covered - shift if slots else ():
         value = slots.get(int(place))
         if value is None:
             continue
         own = int(hashes[place + shift])
-        if there.setdefault(value, own) != own or back.setdefault(own, value) != value:
+        if there.setdefault(value, own) != own:
             return None
         changed += own != value
     return changed

@@ -228,6 +228,11 @@ def test_templates(spark):
         assert [x[0] for x in leak(spark, around.format(changed(ITEM)))] == [1]
 
 
+def test_two_values_may_become_one(spark):
+    same = ITEM.replace("12", "45").replace("30", "45").replace("Pedro", "Marta")
+    assert [x[0] for x in leak(spark, f"some words before. {same} and after")] == [1]
+
+
 def test_literal_windows(spark):
     numbers = "3 kg 17 m 25 cm 4 8 15 16 23 42"
     bench = spark.createDataFrame([(1, numbers), (2, "square root two"), (3, "12 * 12 = 144"), (4, "one plain word then 1 2 3 4 5 6 7 8 9 10 11 12")], "item_id long, text string")
