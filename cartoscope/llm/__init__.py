@@ -8,7 +8,7 @@ import importlib
 
 from pyspark import cloudpickle
 
-_WORKER_MODULES = ("textscan", "langid", "simhash", "decontam", "chat", "katz", "toxicity")
+_WORKER_MODULES = ("textscan", "packed", "langid", "simhash", "decontam", "chat", "katz", "toxicity")
 
 for _name in _WORKER_MODULES:
     cloudpickle.register_pickle_by_value(importlib.import_module(f"{__name__}.{_name}"))

@@ -3,7 +3,8 @@
 Words are ``[^\\x20\\x09-\\x0D]+`` after lower-casing A-Z. A word's identity is a
 64-bit polynomial hash of its UTF-8 bytes, computed for a whole chunk of texts
 with prefix sums, so no Python object is made per word. Chunks hold about
-``limit`` bytes (or one longer text), which bounds memory whatever the batch.
+``limit`` bytes, which bounds memory whatever the batch: a longer text comes in
+pieces cut between words (one chunk if the caller wants texts whole).
 """
 
 from __future__ import annotations
@@ -37,6 +38,8 @@ class Words(NamedTuple):
     hash: np.ndarray
     data: np.ndarray  # A-Z in lower case
     raw: np.ndarray  # as in the text
+    opens: bool = True  # the first text begins here
+    ends: bool = True  # the last text ends here
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -70,17 +73,40 @@ def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data, offsets
 
 
-def scan(column: pa.Array, limit: int = 1 << 20, strip: bool = False) -> Iterator[Words]:
-    """strip: cut ASCII punctuation off both ends of words, and skip words that are nothing else."""
+def scan(column: pa.Array, limit: int = 1 << 20, strip: bool = False, whole: bool = False) -> Iterator[Words]:
+    """strip: cut ASCII punctuation off both ends of words, and skip words that are nothing else.
+
+    A text of more than ``limit`` bytes is a chunk of its own if ``whole``, and
+    else comes in pieces: ``opens`` and ``ends`` tell them apart.
+    """
     data, offsets = utf8(column)
     n, first = len(offsets) - 1, 0
     while first < n:
         last = int(np.searchsorted(offsets, offsets[first] + limit, side="right")) - 1
-        last = min(max(last, first + 1), n)
-        yield _words(data[offsets[first] : offsets[last]], offsets[first : last + 1] - offsets[first], first, strip)
+        last = min(max(last, first + 1), n, first + (1 << 16))
+        a, b = int(offsets[first]), int(offsets[last])
+        if whole or b - a <= limit:
+            yield _words(data[a:b], offsets[first : last + 1] - a, first, strip)
+        else:
+            for c, d in _pieces(data, a, b, limit):
+                yield _words(data[c:d], np.array([0, d - c]), first, strip)._replace(opens=c == a, ends=d == b)
         first = last
 
 
+def _pieces(data: np.ndarray, a: int, b: int, limit: int) -> Iterator[tuple[int, int]]:
+    """Ranges of about ``limit`` bytes that end after a blank; a word is never cut."""
+    while a < b:
+        at = a + limit
+        while at < b:
+            blanks = np.flatnonzero(SPACE[data[at : at + 4096]])
+            if len(blanks):
+                at += int(blanks[0]) + 1
+                break
+            at += 4096
+        yield a, min(at, b)
+        a = min(at, b)
+
+
 def _words(raw: np.ndarray, offsets: np.ndarray, first: int, strip: bool) -> Words:
     size, texts = len(raw), len(offsets) - 1
     if not size:
