@@ -1,7 +1,7 @@
 """Sharding by histogram sort: splitters found by counting, then one exchange.
 
-Rows are ordered by (hash of text, hash of doc_id), so equal texts lie side by
-side. Each round counts the exact bytes of every cell between candidate
+Rows are ordered by (hash of text, hash of doc_id and row), so equal texts lie
+side by side and any group of them can be cut, equal rows too. Each round counts the exact bytes of every cell between candidate
 boundaries; a splitter whose nearest boundary is within tolerance of its target
 is settled, otherwise its cell is cut into ``fan`` finer ones. Boundaries on
 the text hash come first: a group of equal texts is cut only when its bytes
@@ -27,16 +27,19 @@ def _order(name: str, start: int) -> Column:
 
 
 def keyed(text: Column, doc_id: Column) -> tuple[Column, Column]:
-    """The two 60-bit keys of a row."""
+    """The two 60-bit keys of a row: of its text; of its doc_id (40 bits), then of
+    its place in the table, which tells equal rows apart and must be written down."""
     cut = F.lit((1 << 60) - 1).cast("long")
-    return F.xxhash64(text).bitwiseAND(cut), F.xxhash64(F.lit("row"), doc_id).bitwiseAND(cut)
+    own, row = F.xxhash64(F.lit("row"), doc_id), F.xxhash64(F.monotonically_increasing_id())
+    return F.xxhash64(text).bitwiseAND(cut), F.shiftleft(own.bitwiseAND(F.lit((1 << 40) - 1)), 20).bitwiseOR(row.bitwiseAND(F.lit((1 << 20) - 1)))
 
 
 def splitters(keys: DataFrame, shards: int, tolerance: float = 0.01) -> list[tuple[int, int]]:
     """The least (k1, k2) of shards 1, 2, ...; keys has k1, k2 (60 bits) and size.
 
     The driver sees at most 2 ** ``BITS`` counts per unsettled splitter and
-    round. A run of rows with equal k1 and k2 is never cut.
+    round. Rows with equal k1 and k2, one in a million of a run of equal rows,
+    are never cut.
     """
     total = keys.agg(F.sum("size")).collect()[0][0] or 0
     slack = tolerance * total / shards
@@ -102,14 +105,15 @@ def shard_of(k1: Column, k2: Column, cuts: list[tuple[int, int]]) -> Column:
     return out.cast("int")
 
 
-def assign(rows: DataFrame, keys: DataFrame, cuts: list[tuple[int, int]], lot: int = 20_000) -> DataFrame:
-    """``rows`` (with k1, k2) with shard and slot; ``keys`` holds the same k1 and k2.
+def assign(rows: DataFrame, cuts: list[tuple[int, int]], lot: int = 20_000) -> DataFrame:
+    """``rows`` (own, k1, k2, size), a table in storage, with shard and slot.
 
     Slots number a shard's rows from 0 without gaps. Rows go once through an
     exchange by (shard, lot), lots being equal hash ranges of about ``lot`` rows
     whatever the texts are, and are numbered within their lot; lot counts give
     the offsets.
     """
+    keys = rows.select("k1", "k2")
     lots = max(1, keys.count() // (lot * (len(cuts) + 1)))
     shard = shard_of(F.col("k1"), F.col("k2"), cuts)
     piece = F.pmod(F.xxhash64("k2", "k1"), F.lit(lots)).cast("int")
@@ -118,23 +122,28 @@ def assign(rows: DataFrame, keys: DataFrame, cuts: list[tuple[int, int]], lot: i
     offsets = counts.select("shard", "lot", F.coalesce(F.sum("n").over(ahead), F.lit(0)).alias("offset"))
     inside = Window.partitionBy("shard", "lot").orderBy("k1", "k2")
     numbered = rows.withColumns({"shard": shard, "lot": piece}).withColumn("place", F.row_number().over(inside) - 1)
-    joined = numbered.join(offsets, ["shard", "lot"])
-    return joined.withColumn("slot", (F.col("offset") + F.col("place")).cast("long")).drop("lot", "offset", "place")
+    slot = (F.col("offset") + F.col("place")).cast("long")
+    return numbered.join(offsets, ["shard", "lot"]).select("own", "size", "shard", slot.alias("slot"))
+
+
+def _placed(docs: DataFrame, own: Column, shards: int, tolerance: float) -> DataFrame:
+    k1, k2 = keyed(F.col("text"), F.col("doc_id"))
+    rows = store(docs.select(own.alias("own"), k1.alias("k1"), k2.alias("k2"), size_of(F.col("text")).alias("size")), "shard-rows")
+    return assign(rows, splitters(rows.select("k1", "k2", "size"), shards, tolerance))
 
 
 def shard(docs: DataFrame, shards: int = 16, tolerance: float = 0.01) -> DataFrame:
     """``docs`` with size, shard and slot; shards hold near equal bytes.
 
-    Size is the text's UTF-8 bytes plus one, a null text counting no bytes. Rows
-    equal in text and doc_id stay in one shard; null ids are one id. An empty
-    table gives an empty result. Input columns named size, shard, slot, k1 or
-    k2 are replaced.
+    Size is the text's UTF-8 bytes plus one, a null text counting no bytes. Each
+    of a shard's two ends is within ``tolerance`` of a shard, or a row, of its
+    place. Rows are told apart by a number that is written down with them, so
+    equal rows and null ids are dealt out like any others. An empty table gives
+    an empty result. Input columns named size, shard or slot are replaced; all
+    others stay, whatever their names.
     """
-    docs = docs.drop("size", "shard", "slot", "k1", "k2")
-    k1, k2 = keyed(F.col("text"), F.col("doc_id"))
-    rows = docs.withColumns({"k1": k1, "k2": k2, "size": size_of(F.col("text"))})
-    keys = store(rows.select("k1", "k2", "size"), "shard-keys")
-    return assign(rows, keys, splitters(keys, shards, tolerance)).drop("k1", "k2")
+    docs = docs.drop("size", "shard", "slot")
+    return _placed(docs, F.struct("*"), shards, tolerance).select("own.*", "size", "shard", "slot")
 
 
 def shard_table(docs: DataFrame, shards: int = 16, tolerance: float = 0.01) -> DataFrame:
@@ -144,8 +153,6 @@ def shard_table(docs: DataFrame, shards: int = 16, tolerance: float = 0.01) -> D
     ``bytes``, under which no other shard count is promised: grown_shard is null.
     A null text has the checksum of no bytes.
     """
-    k1, k2 = keyed(F.col("text"), F.col("doc_id"))
     crc = F.crc32(F.coalesce("text", F.lit(""))).alias("text_crc32")
-    keys = store(docs.select("doc_id", size_of(F.col("text")).alias("size"), crc, k1.alias("k1"), k2.alias("k2")), "shard-keys")
-    placed = assign(keys, keys, splitters(keys, shards, tolerance))
-    return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+    placed = _placed(docs, F.struct("doc_id", crc), shards, tolerance)
+    return placed.select("own.doc_id", "size", "own.text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
