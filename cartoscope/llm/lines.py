@@ -117,32 +117,34 @@ def drop_frequent_lines(docs: DataFrame, min_docs: int = 10, count: int = 4) ->
     A line's key is the line without blanks at either end, A-Z in lower case.
     Keys of one character or more found in at least ``min_docs`` documents lose
     all their lines. Null and empty texts are one empty line and stay so; a
-    repeated row is a document of its own. The input's columns stay, except
-    kept, n_lines and n_dropped, which are replaced.
+    repeated row is a document of its own. The input's columns stay, whatever
+    their names, except kept, n_lines and n_dropped, which are replaced.
     """
     docs = docs.drop("kept", "n_lines", "n_dropped")
     runs = LineRuns(docs.sparkSession, min_docs)
-    for batch in batches(docs.select("doc_id", "text"), count):
-        runs.add(batch)
-    settled = runs.settled()
-    runs.drop()
+    try:
+        for batch in batches(docs.select("doc_id", "text"), count):
+            runs.add(batch)
+        settled = runs.settled()
+    finally:
+        runs.drop()
     return without(docs, settled)
 
 
 def without(docs: DataFrame, settled: DataFrame) -> DataFrame:
     """Drop the lines in ``settled``. Only hashes travel to the join with it;
     each text travels once, to meet the positions of its dropped lines."""
-    mark = F.xxhash64("text")
-    spots = docs.select("doc_id", mark.alias("mark"), F.posexplode(line_keys(F.col("text"))).alias("at", "k"))
-    hits = spots.select("doc_id", "mark", "at", "k.h1", "k.h2").join(settled, ["h1", "h2"], "left_semi")
-    drop = hits.groupBy("doc_id", "mark").agg(F.collect_set("at").alias("_drop"))
-    drop = drop.withColumnsRenamed({"doc_id": "_id", "mark": "_mark"})
-    joined = docs.join(drop, docs.doc_id.eqNullSafe(F.col("_id")) & (mark == F.col("_mark")), "left")
-    lines = split_lines(F.col("text"))
+    text = F.col("text")
+    mark = F.struct(F.col("doc_id"), F.xxhash64("text").alias("text")).alias("mark")
+    spots = docs.select(mark, F.posexplode(line_keys(text)).alias("at", "k"))
+    hits = spots.select("mark", "at", "k.h1", "k.h2").join(settled, ["h1", "h2"], "left_semi")
+    found = hits.groupBy(F.col("mark").alias("of")).agg(F.collect_set("at").alias("spots"))
+    joined = docs.select(F.struct("*").alias("own"), mark).join(found, F.col("mark") == F.col("of"), "left")
+    text, drop = F.col("own.text"), F.col("spots")
+    lines = split_lines(text)
     every = F.sequence(F.lit(0), F.size(lines) - 1)
-    stay = F.array_except(every, F.coalesce("_drop", F.expr("cast(array() as array<int>)")))
-    kept = F.when(F.col("_drop").isNull(), F.coalesce("text", F.lit(""))).otherwise(
-        F.array_join(F.transform(stay, lambda i: F.get(lines, i)), "\n")
+    stay = F.array_except(every, F.coalesce(drop, F.expr("cast(array() as array<int>)")))
+    kept = F.when(drop.isNull(), F.coalesce(text, F.lit(""))).otherwise(F.array_join(F.transform(stay, lambda i: F.get(lines, i)), "\n"))
+    return joined.select(
+        "own.*", kept.alias("kept"), F.size(lines).cast("long").alias("n_lines"), F.coalesce(F.size(drop), F.lit(0)).cast("long").alias("n_dropped")
     )
-    extra = {"kept": kept, "n_lines": F.size(lines).cast("long"), "n_dropped": F.coalesce(F.size("_drop"), F.lit(0)).cast("long")}
-    return joined.withColumns(extra).drop("_id", "_mark", "_drop")
