@@ -11,6 +11,7 @@ looked up by hash in every document. Hits of one document
 and item on one alignment are merged, and count only if the slots agree: one
 value in the item must always stand for one value in the document; two values of
 the item may have got the same one. A re-parameterised question is thus found.
+Runs that are the item's own words need no slots.
 """
 
 from __future__ import annotations
@@ -83,15 +84,19 @@ class Benchmark(NamedTuple):
 
     ids: np.ndarray
     length: np.ndarray  # template words of each item
+    words: list[np.ndarray]  # hashes of each item's words
     slots: list[dict[int, int]]  # place -> hash of the value
     windows: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]]
+    overlap: int  # bytes that pieces of a long text share: more than any item takes
 
 
 def prepare(ids: list[int | None], texts: list[str | None], width: int) -> Benchmark:
     length = np.zeros(len(texts), dtype=np.int64)
     slots: list[dict[int, int]] = [{} for _ in texts]
+    own: list[list[np.ndarray]] = [[] for _ in texts]
+    longest = max((len((t or "").encode("utf-8", "surrogatepass")) for t in texts), default=0)
     found: dict[int, list[tuple[np.ndarray, np.ndarray, np.ndarray]]] = {}
-    for words in scan(pa.array(texts, pa.string()), strip=True):
+    for words in scan(pa.array(texts, pa.string()), limit=max(1 << 20, longest), strip=True):
         kind = kinds(words)
         forms = list(templates(words, kind))
         cut = np.searchsorted(words.doc, np.arange(words.texts + 1))
@@ -99,6 +104,7 @@ def prepare(ids: list[int | None], texts: list[str | None], width: int) -> Bench
             a, b = cut[i], cut[i + 1]
             item, n = words.first + i, b - a
             length[item] = n
+            own[item].append(words.hash[a:b])
             slots[item] = {int(p): int(words.hash[a + p]) for p in np.flatnonzero(kind[a:b])}
             wide = min(int(n), width)
             if not wide:
@@ -119,7 +125,8 @@ def prepare(ids: list[int | None], texts: list[str | None], width: int) -> Bench
         new = np.ones(len(keys), dtype=bool)
         new[1:] = (keys[1:] != keys[:-1]) | (item[1:] != item[:-1]) | (at[1:] != at[:-1])
         ready[wide] = keys[new], item[new], at[new]
-    return Benchmark(np.array(ids, dtype=object), length, slots, ready)
+    none = np.zeros(0, np.uint64)
+    return Benchmark(np.array(ids, dtype=object), length, [w[0] if w else none for w in own], slots, ready, 2 * longest + 1024)
 
 
 def _inside(marked: np.ndarray, at: np.ndarray, wide: int) -> np.ndarray:
@@ -147,84 +154,157 @@ class Match(NamedTuple):
     changed: int
 
 
-def matches(column: pa.Array, bench: Benchmark, width: int, long_run: int, share: float) -> Iterator[Match]:
+class Limits(NamedTuple):
+    """What makes a leak: see :func:`leaks`."""
+
+    width: int
+    long_run: int
+    share: float
+    torn: bool
+
+
+def matches(column: pa.Array, bench: Benchmark, limits: Limits) -> Iterator[Match]:
     """Leaks in a column of texts, in order of document and item."""
-    for words in scan(column, strip=True):
-        kind = kinds(words)
-        hits: list[tuple[np.ndarray, ...]] = []
-        for wide, (keys, items, places) in bench.windows.items():
-            at, own = _own_windows(words, kind, wide)
-            lo = np.searchsorted(keys, own)
-            there = np.flatnonzero(keys[np.minimum(lo, len(keys) - 1)] == own) if len(keys) else np.zeros(0, np.int64)
-            if not len(there):
-                continue
-            lo = lo[there]
-            n = np.searchsorted(keys, own[there], side="right") - lo
-            each = np.repeat(np.arange(len(there)), n)
-            pick = np.repeat(lo, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-            start = at[there][each]
-            hits.append((words.doc[start], items[pick], start - places[pick], start, np.full(len(start), wide)))
-        if not hits:
-            continue
-        doc, item, shift, start, wide = (np.concatenate(x) for x in zip(*hits, strict=True))
-        order = np.lexsort((start, shift, item, doc))
-        doc, item, shift, start, wide = (x[order] for x in (doc, item, shift, start, wide))
-        new = np.ones(len(doc), dtype=bool)
-        new[1:] = (doc[1:] != doc[:-1]) | (item[1:] != item[:-1]) | (shift[1:] != shift[:-1])
-        best: dict[tuple[int, int], tuple[int, int]] = {}
-        heads = np.flatnonzero(new)
-        for a, b in zip(heads, [*heads[1:], len(doc)], strict=True):
-            covered = np.unique((start[a:b, None] + np.arange(wide[a])).ravel())
-            if len(covered) < min(long_run, np.ceil(share * bench.length[item[a]])):
-                continue
-            changed = _consistent(covered, int(shift[a]), bench.slots[item[a]], words.hash)
-            key = int(doc[a]), int(item[a])
-            if changed is not None and (key not in best or best[key] < (len(covered), -changed)):
-                best[key] = len(covered), -changed
-        for (d, i), (n, changed) in sorted(best.items()):
+    begun: dict[int, tuple[int, int]] = {}  # best matches in the earlier pieces of a long text
+    for words in scan(column, limit=max(1 << 20, 4 * bench.overlap), strip=True, overlap=bench.overlap):
+        best = _best(words, bench, limits)
+        if not words.opens:
+            for i, found in begun.items():
+                best[0, i] = max(best.get((0, i), found), found)
+        begun = {} if words.ends else {i: found for (_, i), found in best.items()}
+        for (d, i), (n, changed) in sorted(best.items()) if words.ends else ():
             yield Match(words.first + d, i, n, -changed)
 
 
-def _consistent(covered: np.ndarray, shift: int, slots: dict[int, int], hashes: np.ndarray) -> int | None:
-    """Slots whose value differs, or None if a value of the item became two."""
-    there: dict[int, int] = {}
-    changed = 0
-    for place in covered - shift if slots else ():
-        value = slots.get(int(place))
-        if value is None:
+def _best(words: Words, bench: Benchmark, limits: Limits) -> dict[tuple[int, int], tuple[int, int]]:
+    """By text and item the most words that match, and minus the slots that differ."""
+    kind = kinds(words)
+    hits: list[tuple[np.ndarray, ...]] = []
+    for wide, (keys, items, places) in bench.windows.items():
+        at, own = _own_windows(words, kind, wide)
+        lo = np.searchsorted(keys, own)
+        there = np.flatnonzero(keys[np.minimum(lo, len(keys) - 1)] == own) if len(keys) else np.zeros(0, np.int64)
+        if not len(there):
             continue
-        own = int(hashes[place + shift])
-        if there.setdefault(value, own) != own:
-            return None
-        changed += own != value
-    return changed
+        lo = lo[there]
+        n = np.searchsorted(keys, own[there], side="right") - lo
+        each = np.repeat(np.arange(len(there)), n)
+        pick = np.repeat(lo, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+        start = at[there][each]
+        hits.append((words.doc[start], items[pick], start - places[pick], start, np.full(len(start), wide)))
+    best: dict[tuple[int, int], tuple[int, int]] = {}
+    if not hits:
+        return best
+    doc, item, shift, start, wide = (np.concatenate(x) for x in zip(*hits, strict=True))
+    order = np.lexsort((start, shift, item, doc))
+    doc, item, shift, start, wide = (x[order] for x in (doc, item, shift, start, wide))
+    new = np.ones(len(doc), dtype=bool)
+    new[1:] = (doc[1:] != doc[:-1]) | (item[1:] != item[:-1]) | (shift[1:] != shift[:-1])
+    heads = np.flatnonzero(new)
+    runs = []  # text, item, first place, shift, covered places
+    for a, b in zip(heads, [*heads[1:], len(doc)], strict=True):
+        covered = np.unique((start[a:b, None] + np.arange(wide[a])).ravel())
+        runs.append((int(doc[a]), int(item[a]), int(covered[0]), int(shift[a]), covered))
+    for d, i, covered, place in _chains(runs) if limits.torn else ((d, i, c, c - s) for d, i, _, s, c in runs):
+        need = int(min(limits.long_run, np.ceil(limits.share * bench.length[i])))
+        if len(covered) < need:
+            continue
+        found = [_consistent(covered, place, bench.slots[i], words.hash)]
+        if limits.torn and found[0] is None:
+            found = _parts(covered, place, bench.slots[i], words.hash)
+            literal = _literal(covered, place, bench.words[i], words.hash)
+            found = [x for x in found if x[0] >= need] + ([(literal, 0)] if literal >= limits.long_run else [])
+        for x in found:
+            if x is not None:
+                best[d, i] = max(best.get((d, i), x), x)
+    return best
+
+
+def _chains(runs: list[tuple], slip: int = 2) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """Alignments joined where up to ``slip`` words were put in or left out: text, item, places in text and item."""
+    chain: tuple | None = None
+    for d, i, _, shift, covered in sorted(runs, key=lambda r: r[:3]):
+        place = covered - shift
+        if chain is not None and chain[:2] == (d, i) and abs(shift - chain[4]) <= slip:
+            after = (covered > chain[2][-1]) & (place > chain[3][-1])
+            if after.any() and covered[after][0] <= chain[2][-1] + slip + 1:
+                chain = d, i, np.concatenate([chain[2], covered[after]]), np.concatenate([chain[3], place[after]]), shift
+                continue
+        if chain is not None:
+            yield chain[:4]
+        chain = d, i, covered, place, shift
+    if chain is not None:
+        yield chain[:4]
+
+
+def _consistent(covered: np.ndarray, place: np.ndarray, slots: dict[int, int], hashes: np.ndarray) -> tuple[int, int] | None:
+    """Words, and minus the slots whose value differs; None if a value of the item became two."""
+    parts = _parts(covered, place, slots, hashes) if slots else [(len(covered), 0)]
+    return parts[0] if len(parts) == 1 else None
 
 
-def blocks(benchmark: DataFrame, block_rows: int, width: int) -> Iterator[Benchmark]:
-    """The benchmark in blocks of about ``block_rows`` items, each small enough to send to every task."""
-    items = benchmark.select("item_id", "text").where("text is not null")
-    parts = max(1, -(-items.count() // block_rows))
+def _parts(covered: np.ndarray, place: np.ndarray, slots: dict[int, int], hashes: np.ndarray) -> list[tuple[int, int]]:
+    """The alignment cut before each slot that contradicts those since the last cut: words and minus changed slots."""
+    there: dict[int, int] = {}
+    out, size, changed = [], 0, 0
+    for c, p in zip(covered.tolist(), place.tolist(), strict=True):
+        value = slots.get(p)
+        if value is not None:
+            own = int(hashes[c])
+            if there.setdefault(value, own) != own:
+                out.append((size, -changed))
+                there, size, changed = {value: own}, 0, 0
+            changed += own != value
+        size += 1
+    return [*out, (size, -changed)]
+
+
+def _literal(covered: np.ndarray, place: np.ndarray, item: np.ndarray, hashes: np.ndarray) -> int:
+    """The longest run of words that are the item's own, without a gap."""
+    same = hashes[covered] == item[place]
+    joined = np.zeros(len(covered), dtype=bool)
+    joined[1:] = same[1:] & same[:-1] & (np.diff(covered) == 1) & (np.diff(place) == 1)
+    size = best = 0
+    for s, j in zip(same.tolist(), joined.tolist(), strict=True):
+        size = size + 1 if j else int(s)
+        best = max(best, size)
+    return best
+
+
+def blocks(benchmark: DataFrame, block_rows: int, width: int, block_bytes: int = 32 << 20) -> Iterator[Benchmark]:
+    """The benchmark in blocks of about ``block_rows`` items or ``block_bytes`` of text, each small enough to send to every task."""
+    items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").where("text is not null")
+    n, size = items.agg(F.count("*"), F.sum(F.octet_length("text"))).collect()[0]
+    parts = max(1, -(-n // block_rows), -(-(size or 0) // block_bytes))
     for part in range(parts):
         rows = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(parts)) == part).orderBy("item_id", "text").collect()
         yield prepare([r["item_id"] for r in rows], [r["text"] for r in rows], width)
 
 
-def leaks(docs: DataFrame, benchmark: DataFrame, width: int = 8, long_run: int = 13, share: float = 0.5, block_rows: int = 50_000) -> DataFrame:
+def leaks(
+    docs: DataFrame, benchmark: DataFrame, width: int = 8, long_run: int = 13, share: float = 0.5, block_rows: int = 50_000, torn: bool = False
+) -> DataFrame:
     """doc_id, item_id, n_matched, n_item, n_changed of every leak: a row per document and item.
 
     A leak covers at least ``long_run`` template words of an item or ``share``
     of it, on one alignment, with consistent slots; n_changed slots have
-    another value. Each document is read once per block of the benchmark.
+    another value. With ``torn``, alignments are joined over one or two words
+    put in or left out, an alignment on which one value of the item became two
+    is cut there and each part counts by itself, and so does any run of
+    ``long_run`` words that are the item's own; without, such an alignment is
+    no leak. Each document is read once per block of the benchmark; a long text
+    is read in pieces that overlap by more than any item.
     Null and empty texts leak nothing. Items of fewer than four words and
     windows that are mostly numbers and units are matched word for word; an item
     of one word is in every document that has the word. Repeated documents
     repeat their rows. Without a benchmark there are no rows.
     """
+    limits = Limits(width, long_run, share, torn)
 
     def find(bench: Benchmark):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                got = list(matches(batch.column(1), bench, width, long_run, share))
+                got = list(matches(batch.column(1), bench, limits))
                 rows = pa.array([m.doc for m in got], pa.int64())
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -240,20 +320,28 @@ def leaks(docs: DataFrame, benchmark: DataFrame, width: int = 8, long_run: int =
         return run
 
     out = None
+    own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     for bench in blocks(benchmark, block_rows, width):
-        part = docs.select("doc_id", "text").mapInArrow(find(bench), "doc_id long, item_id long, n_matched long, n_item long, n_changed long")
+        part = own.mapInArrow(find(bench), "doc_id long, item_id long, n_matched long, n_item long, n_changed long")
         out = part if out is None else out.unionAll(part)
     return out
 
 
-def clean(docs: DataFrame, benchmark: DataFrame, width: int = 8, long_run: int = 13, share: float = 0.5, block_rows: int = 50_000) -> DataFrame:
-    """``docs`` without the rows that :func:`leaks` reports; columns stay as they are."""
+def clean(
+    docs: DataFrame, benchmark: DataFrame, width: int = 8, long_run: int = 13, share: float = 0.5, block_rows: int = 50_000, torn: bool = False
+) -> DataFrame:
+    """``docs`` without the rows that :func:`leaks` reports; columns stay as they are.
+
+    Null and empty texts stay, and so does everything without a benchmark;
+    repeated rows stay or go together.
+    """
+    limits = Limits(width, long_run, share, torn)
 
     def keep(bench: Benchmark):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 good = np.ones(batch.num_rows, dtype=bool)
-                good[[m.doc for m in matches(batch.column("text"), bench, width, long_run, share)]] = False
+                good[[m.doc for m in matches(batch.column("text"), bench, limits)]] = False
                 yield batch.filter(pa.array(good))
 
         return run

@@ -4,7 +4,7 @@ Words are ``[^\\x20\\x09-\\x0D]+`` after lower-casing A-Z. A word's identity is
 64-bit polynomial hash of its UTF-8 bytes, computed for a whole chunk of texts
 with prefix sums, so no Python object is made per word. Chunks hold about
 ``limit`` bytes, which bounds memory whatever the batch: a longer text comes in
-pieces cut between words (one chunk if the caller wants texts whole).
+pieces cut between words. Only a single word longer than that is held whole.
 """
 
 from __future__ import annotations
@@ -73,11 +73,12 @@ def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data, offsets
 
 
-def scan(column: pa.Array, limit: int = 1 << 20, strip: bool = False, whole: bool = False) -> Iterator[Words]:
+def scan(column: pa.Array, limit: int = 1 << 20, strip: bool = False, overlap: int = 0) -> Iterator[Words]:
     """strip: cut ASCII punctuation off both ends of words, and skip words that are nothing else.
 
-    A text of more than ``limit`` bytes is a chunk of its own if ``whole``, and
-    else comes in pieces: ``opens`` and ``ends`` tell them apart.
+    A text of more than ``limit`` bytes comes in pieces: ``opens`` and ``ends``
+    tell them apart. Each piece repeats the last ``overlap`` bytes or fewer (far
+    less than ``limit``) of the one before.
     """
     data, offsets = utf8(column)
     n, first = len(offsets) - 1, 0
@@ -85,26 +86,32 @@ def scan(column: pa.Array, limit: int = 1 << 20, strip: bool = False, whole: boo
         last = int(np.searchsorted(offsets, offsets[first] + limit, side="right")) - 1
         last = min(max(last, first + 1), n, first + (1 << 16))
         a, b = int(offsets[first]), int(offsets[last])
-        if whole or b - a <= limit:
+        if b - a <= limit:
             yield _words(data[a:b], offsets[first : last + 1] - a, first, strip)
         else:
-            for c, d in _pieces(data, a, b, limit):
+            for c, d in _pieces(data, a, b, limit, overlap):
                 yield _words(data[c:d], np.array([0, d - c]), first, strip)._replace(opens=c == a, ends=d == b)
         first = last
 
 
-def _pieces(data: np.ndarray, a: int, b: int, limit: int) -> Iterator[tuple[int, int]]:
+def _after_blank(data: np.ndarray, at: int, end: int) -> int:
+    """The first place from ``at`` that follows a blank, or ``end``."""
+    while at < end:
+        blanks = np.flatnonzero(SPACE[data[at : min(at + 4096, end)]])
+        if len(blanks):
+            return at + int(blanks[0]) + 1
+        at += 4096
+    return end
+
+
+def _pieces(data: np.ndarray, a: int, b: int, limit: int, overlap: int) -> Iterator[tuple[int, int]]:
     """Ranges of about ``limit`` bytes that end after a blank; a word is never cut."""
-    while a < b:
-        at = a + limit
-        while at < b:
-            blanks = np.flatnonzero(SPACE[data[at : at + 4096]])
-            if len(blanks):
-                at += int(blanks[0]) + 1
-                break
-            at += 4096
-        yield a, min(at, b)
-        a = min(at, b)
+    while True:
+        end = _after_blank(data, a + limit, b)
+        yield a, end
+        if end == b:
+            return
+        a = _after_blank(data, end - overlap, end) if overlap else end
 
 
 def _words(raw: np.ndarray, offsets: np.ndarray, first: int, strip: bool) -> Words:

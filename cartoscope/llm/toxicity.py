@@ -46,10 +46,23 @@ class Index(NamedTuple):
 
 def bags(column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """Place, distinct word hashes and counts of each text."""
+    begun = None  # of a text that comes in pieces
     for words in scan(column, strip=True):
         cut = np.searchsorted(words.doc, np.arange(words.texts + 1))
         for i in range(words.texts):
-            yield words.first + i, *np.unique(words.hash[cut[i] : cut[i + 1]], return_counts=True)
+            found = np.unique(words.hash[cut[i] : cut[i + 1]], return_counts=True)
+            if not (words.opens and words.ends):
+                begun = _joined(begun, found) if begun else found
+                if not words.ends:
+                    continue
+                found, begun = begun, None
+            yield words.first + i, *found
+
+
+def _joined(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Sums of two lists of counts."""
+    words, at = np.unique(np.concatenate([a[0], b[0]]), return_inverse=True)
+    return words, np.bincount(at, weights=np.concatenate([a[1], b[1]])).astype(np.int64)
 
 
 def _vector(hashes: np.ndarray, counts: np.ndarray, words: np.ndarray, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -185,12 +198,16 @@ def fit(docs: DataFrame, labels: DataFrame, fit_rows: int = 4000, folds: int = 4
         seen = np.zeros(len(known) + 1, dtype=np.int64)
         for batch in batches:
             every += batch.num_rows
-            for w in scan(batch.column(0), strip=True):
-                if not len(known) or not len(w.hash):
-                    continue
+            begun = None  # words so far of a text that comes in pieces
+            for w in scan(batch.column(0), strip=True) if len(known) else ():
                 at = np.minimum(np.searchsorted(known, w.hash), len(known) - 1)
                 mine = known[at] == w.hash
                 pairs = np.unique(w.doc[mine] * len(known) + at[mine])
+                if not (w.opens and w.ends):
+                    pairs = pairs if begun is None else np.union1d(begun, pairs)
+                    begun = None if w.ends else pairs
+                    if not w.ends:
+                        continue
                 hit, n = np.unique(pairs % len(known), return_counts=True)
                 seen[hit] += n
         seen[-1] = every
