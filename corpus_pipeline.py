@@ -33,7 +33,7 @@ def deduplicated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a passage of the benchmark."""
-    return decontam.clean(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    return decontam.clean(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), torn=True)
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
