@@ -87,8 +87,8 @@ def slippage(c: Column) -> Column:
 
 
 def language(c: Column) -> Column:
-    latin = F.regexp_count(text(c), F.lit("[a-zA-Z]"))
-    cyrillic = F.regexp_count(text(c), F.lit(f"[{CYRILLIC}]"))
+    latin = F.length(F.regexp_replace(text(c), "[^a-zA-Z]++", ""))
+    cyrillic = F.length(F.regexp_replace(text(c), f"[^{CYRILLIC}]++", ""))
     words = F.split(F.lower(text(c)), APART)
 
     def names(vocabulary: Sequence[str]) -> Column:

@@ -54,17 +54,32 @@ def progress(combos: DataFrame, done: DataFrame) -> DataFrame:
     return counts.withColumns({"pct": pct, "status": status})
 
 
-def streak_cutoff(log: DataFrame, by: Sequence[str], order: Sequence[str], outcome: Column, counted: str, resets: Column, limit: int) -> DataFrame:
+def streak_cutoff(
+    log: DataFrame, by: Sequence[str], order: Sequence[str], outcome: Column, counted: str, resets: Column, limit: int, chunk: Column | None = None
+) -> DataFrame:
     """Where each group first has ``limit`` of ``counted`` in a row.
 
     ``resets`` rows start a new island; anything else neither counts nor
-    resets. Groups that never get there are absent.
+    resets. Groups that never get there are absent. ``chunk`` (rising with the
+    order, such as a day or a range of numbers) lets tasks share a long group:
+    rows are counted within their chunk, and only what each chunk carries over
+    to the next is summed along the group.
     """
-    own = log.withColumn("_outcome", outcome)
-    up = Window.partitionBy(*by).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    own = log.withColumns({"_outcome": outcome, "_chunk": F.lit(0) if chunk is None else chunk})
+    part = [*by, "_chunk"]
+    up = Window.partitionBy(*part).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     island = own.withColumn("_island", F.sum(F.when(resets, 1).otherwise(0)).over(up))
-    inside = Window.partitionBy(*by, "_island").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    inside = Window.partitionBy(*part, "_island").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     run = island.withColumn("_run", F.sum(F.when(F.col("_outcome") == counted, 1).otherwise(0)).over(inside))
+    if chunk is not None:
+        ends = run.groupBy(*part).agg(F.max("_island").alias("_islands"), F.max_by("_run", F.struct("_island", "_run")).alias("_left"))
+        along = Window.partitionBy(*by).orderBy("_chunk")
+        upto = along.rowsBetween(Window.unboundedPreceding, 0)
+        ends = ends.withColumn("_since", F.sum(F.when(F.col("_islands") > 0, 1).otherwise(0)).over(upto))
+        ends = ends.withColumn("_after", F.sum("_left").over(Window.partitionBy(*by, "_since").orderBy("_chunk").rowsBetween(Window.unboundedPreceding, 0)))
+        carried = ends.select(*[F.col(p).alias(f"_of_{p}") for p in part], F.coalesce(F.lag("_after").over(along), F.lit(0)).alias("_carried"))
+        same = [F.col(p).eqNullSafe(F.col(f"_of_{p}")) for p in part]
+        run = run.join(carried, same).withColumn("_run", F.col("_run") + F.when(F.col("_island") == 0, F.col("_carried")).otherwise(0))
     hit = run.where((F.col("_run") >= limit) & (F.col("_outcome") == counted))
     return hit.groupBy(*by).agg(F.min(F.struct(*order)).alias("_at")).select(*by, *[F.col(f"_at.{o}").alias(f"cut_{o}") for o in order])
 
@@ -81,3 +96,53 @@ def health(events: DataFrame, library: str, seq: Column, state: Column, problem:
     pick = F.max_by(F.struct(state.alias("status"), F.substring(problem, 1, 1800).alias("problem")), F.struct(rank, F.when(rank == 2, -seq).otherwise(seq)))
     best = events.groupBy(library).agg(pick.alias("s"))
     return best.select(library, "s.status", F.when(F.col("s.status") == "ok", "").otherwise(F.col("s.problem")).alias("problem"))
+
+
+def numbered(plan: DataFrame, order: Sequence[str | Column]) -> DataFrame:
+    """Each row of a plan (a dimension, not data) with its place n of total, rows to skip included."""
+    total = plan.agg(F.count("*").alias("total"))
+    return plan.withColumn("n", F.row_number().over(Window.orderBy(*order))).crossJoin(F.broadcast(total))
+
+
+def check_summary(counts: DataFrame, n: str = "n") -> DataFrame:
+    """What a test search of each source says: records found, none, skipped (-1) or failed (-2)."""
+    status = F.when(F.col(n) == -1, "skipped").when(F.col(n) == -2, "error").when(F.col(n) == 0, "empty").otherwise("ok")
+    return counts.withColumn("status", status)
+
+
+def sampled(records: DataFrame, source: str, order: Sequence[str | Column], n: int = 5) -> DataFrame:
+    """The first n records of each source: the feature of a test search."""
+    place = F.row_number().over(Window.partitionBy(source).orderBy(*order))
+    return records.withColumn("place", place).where(F.col("place") <= n)
+
+
+def within_pages(pages: DataFrame, most: int, page: str = "page_no", server_most: str | None = None, limit: int = 100) -> DataFrame:
+    """Pages 1 to ``most``; where the server names its own last page, no further than that or ``limit``."""
+    last = F.lit(most)
+    if server_most:
+        last = F.least(last, F.coalesce(F.col(server_most), F.lit(limit)), F.lit(limit))
+    return pages.where(F.col(page) <= last)
+
+
+def vocabulary(*lists: DataFrame) -> DataFrame:
+    """All words of several one-column lists, once each."""
+    first, *rest = lists
+    for words in rest:
+        first = first.unionAll(words)
+    return first.distinct()
+
+
+def provinces_named(spark: SparkSession, names: DataFrame, name: str = "name") -> DataFrame:
+    """``names`` with the first province that each freely written name means (null: none).
+
+    Endings in а, я, о or й go, and either name may contain the other.
+    """
+    written = F.regexp_replace(F.trim(F.lower(F.col(name))), "[аяой]+$", "")
+    known = F.array(*map(F.lit, V.PROVINCES))
+    fits = F.filter(known, lambda k: F.contains(k, written) | F.contains(written, k))
+    return names.withColumn("province", F.get(fits, F.lit(0)))
+
+
+def workarounds(spark: SparkSession) -> DataFrame:
+    """What to try for each kind of fault."""
+    return inline(spark, [(k, t) for k, t in V.WORKAROUNDS.items()], "fault string, advice string")

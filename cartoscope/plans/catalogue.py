@@ -71,6 +71,18 @@ def of_values(name: str, rows: dict[int, str], sql: str, **columns: Callable[[Co
     QUERIES[name], ORACLES[name] = run, f"SELECT id, {sql} FROM {X.sql_table(rows)}"
 
 
+def of_mixed(name: str, rows: dict[int, str], sql: str, **columns: Callable[[Column], Column]) -> None:
+    """A function over every whole document and a few authored texts."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        docs = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), F.col("text").alias("t"))
+        every = docs.unionAll(X.spark_table(spark, rows).select(-F.col("id"), "t"))
+        return every.select("id", *[c(F.col("t")).alias(k) for k, c in columns.items()])
+
+    QUERIES[name] = run
+    ORACLES[name] = f"SELECT id, {sql} FROM (SELECT doc_id AS id, text AS t FROM documents UNION ALL SELECT -id, t FROM {X.sql_table(rows)})"
+
+
 POSITIVE, DOUBTFUL = (*V.POSITIVE, *LATIN_POSITIVE), (*V.DOUBTFUL, *LATIN_DOUBTFUL)
 SQL_CLASS = f"CASE WHEN {sql_any('t', POSITIVE)} THEN 'positive' WHEN {sql_any('t', DOUBTFUL)} THEN 'doubtful' ELSE 'negative' END"
 
@@ -123,31 +135,31 @@ SQL_REGIONS = "concat_ws(', ', " + ", ".join(f"CASE WHEN contains(lower(t), {X.l
 of_titles("modern_regions", f"{SQL_REGIONS} AS regions", regions=lambda t: T.modern_regions(t, F.lit("")))
 of_titles("truncations", "left(t, 200) AS short, left(t, 2000) AS long", short=lambda t: F.left(t, F.lit(200)), long=lambda t: F.left(t, F.lit(2000)))
 
-of_values("kgr_filter", X.SHELVES, "(t = '' OR regexp_matches(upper(t), '^(KGR|КГР)')) AS keep", keep=lambda t: T.map_shelfmark(t))
-of_values("rubric_filter", X.TITLES, f"{sql_any('t', V.RUBRICS)} AS keep", keep=lambda t: T.map_rubric(t, F.lit("")))
-of_values("scale_parse", X.SCALES, "TRY_CAST(regexp_replace(t, '[^0-9]', '', 'g') AS BIGINT) AS scale", scale=lambda t: T.scale(t))
-of_values(
+of_mixed("kgr_filter", X.SHELVES, "(t = '' OR regexp_matches(upper(t), '^(KGR|КГР)')) AS keep", keep=lambda t: T.map_shelfmark(t))
+of_mixed("rubric_filter", X.TITLES, f"{sql_any('t', V.RUBRICS)} AS keep", keep=lambda t: T.map_rubric(t, F.lit("")))
+of_mixed("scale_parse", X.SCALES, "TRY_CAST(regexp_replace(t, '[^0-9]', '', 'g') AS BIGINT) AS scale", scale=lambda t: T.scale(t))
+of_mixed(
     "cipher_parse", X.CIPHERS,
     r"""regexp_extract(t, 'Ф[.\s]+([\p{L}\p{N}_.-]+)', 1) AS fund, regexp_extract(t, '[Оо]п[.\s]+([^\s]+)', 1) AS inventory, regexp_extract(t, 'Д[.\s]+([0-9]+[\p{L}\p{N}_]*)', 1) AS "case" """,
     fund=lambda t: T.cipher(t).fund, inventory=lambda t: T.cipher(t).inventory, case=lambda t: T.cipher(t)["case"],
 )
-of_values(
+of_mixed(
     "cipher_digits", X.CIPHERS,
     r"""regexp_extract(t, 'Ф\.([0-9]+)', 1) AS fund, regexp_extract(t, 'Оп\.([0-9]+)', 1) AS inventory, regexp_extract(t, 'Д\.([0-9]+)', 1) AS "case" """,
     fund=lambda t: T.digit_cipher(t).fund, inventory=lambda t: T.digit_cipher(t).inventory, case=lambda t: T.digit_cipher(t)["case"],
 )
-of_values(
+of_mixed(
     "lang_code", X.CODES,
     "CASE lower(left(t, 3)) " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in V.LANGUAGE_CODES.items()) + f" ELSE '{V.OTHER_LANGUAGE}' END AS language",
     language=lambda t: T.language_name(t),
 )
-of_values("workaround", X.FAULTS, "CASE " + " ".join(f"WHEN contains(lower(t), '{k}') THEN '{k}'" for k in V.FAULTS) + " ELSE 'other' END AS fault", fault=lambda t: T.fault(t))
-of_values("access_class", X.ACCESSES, "CASE " + " ".join(f"WHEN contains(lower(t), '{k}') THEN '{v}'" for k, v in V.ACCESS) + " ELSE '' END AS access", access=lambda t: T.access_class(t))
-of_values("document_type", X.TITLES, "CASE " + " ".join(f"WHEN contains(t, '{k}') THEN '{k}'" for k in V.DOCUMENT_TYPES) + " ELSE '' END AS kind", kind=lambda t: T.first_of(t, V.DOCUMENT_TYPES))
+of_mixed("workaround", X.FAULTS, "CASE " + " ".join(f"WHEN contains(lower(t), '{k}') THEN '{k}'" for k in V.FAULTS) + " ELSE 'other' END AS fault", fault=lambda t: T.fault(t))
+of_mixed("access_class", X.ACCESSES, "CASE " + " ".join(f"WHEN contains(lower(t), '{k}') THEN '{v}'" for k, v in V.ACCESS) + " ELSE '' END AS access", access=lambda t: T.access_class(t))
+of_mixed("document_type", X.TITLES, "CASE " + " ".join(f"WHEN contains(t, '{k}') THEN '{k}'" for k in V.DOCUMENT_TYPES) + " ELSE '' END AS kind", kind=lambda t: T.first_of(t, V.DOCUMENT_TYPES))
 _CENTURY = "CASE " + " ".join(f"WHEN contains(upper(t), '{r}') AND regexp_matches(upper(t), '[XVI]\\s*В') THEN {{}}" for r, _ in V.CENTURIES) + " ELSE {} END"
 _YS = "list_transform(regexp_extract_all(t, '[0-9]{4}'), lambda w: w::INTEGER)"
 _UPTO = "(contains(lower(t), 'до') OR contains(lower(t), 'по'))"
-of_values(
+of_mixed(
     "period_parse", X.PERIODS,
     f"CASE WHEN len({_YS}) >= 2 THEN ({_YS})[1] WHEN len({_YS}) = 1 THEN CASE WHEN {_UPTO} THEN 1700 ELSE ({_YS})[1] END "
     f"ELSE {_CENTURY.format(*[y for _, y in V.CENTURIES], 1750)} END AS year_from, "
@@ -246,18 +258,23 @@ def _streak_sql(counted: str, resets: str, limit: int) -> str:
     )
 
 
+def _chunk() -> Column:
+    """Parts of a long log: a task counts one at a time."""
+    return F.floor(F.col("event_id") / 250_000)
+
+
 def _grouped(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "events").withColumn("grp", F.col("user_id") % 50)
 
 
 @query(_streak_sql("empty", "o = 'hit'", V.EMPTY_LIMIT))
 def empty_streak_cutoff(spark, d):
-    return S.streak_cutoff(_grouped(spark, d), ["grp"], ["event_id"], event_outcome(), "empty", F.col("_outcome") == "hit", V.EMPTY_LIMIT)
+    return S.streak_cutoff(_grouped(spark, d), ["grp"], ["event_id"], event_outcome(), "empty", F.col("_outcome") == "hit", V.EMPTY_LIMIT, _chunk())
 
 
-@query(_streak_sql("err", "o <> 'err'", 3))
+@query(_streak_sql("err", "o <> 'err'", V.ERROR_LIMIT))
 def error_streak_cutoff(spark, d):
-    return S.streak_cutoff(_grouped(spark, d), ["grp"], ["event_id"], event_outcome(), "err", F.col("_outcome") != "err", 3)
+    return S.streak_cutoff(_grouped(spark, d), ["grp"], ["event_id"], event_outcome(), "err", F.col("_outcome") != "err", V.ERROR_LIMIT, _chunk())
 
 
 @query(

@@ -32,9 +32,35 @@ SCALES = {1: "84 000", 2: "1:420 000", 3: "", 4: "без масштаба"}
 CODES = {1: "ger", 2: "xyz", 3: "RUSlat", 4: "", 5: "fre"}
 FAULTS = {1: "HTTP 403 Forbidden", 2: "Read Timeout 503", 3: "SSL error", 4: "empty page", 5: "odd", 6: "429"}
 PERIODS = {1: "1750–1850", 2: "до 1917", 3: "1800", 4: "XVIII в.", 5: "XX в.", 6: "когда-то", 7: "XVII в."}
-ACCESSES = {1: "Свободный доступ", 2: "Только читальный зал", 3: "Ограниченный", 4: ""}
+ACCESSES = {1: "Свободный доступ", 2: "Только читальный зал", 3: "Ограниченный", 4: "", 5: "В открытом  доступе"}
 RECORDS = {1: "Название: Карта\nАвтор: Иванов: младший\nГод: 1800", 2: "нет пар", 3: "Шифр: 1\nШифр: 2"}
 LINKS = {1: "/item/5#top", 2: "http://x.org/a/?q=1", 3: "#", 4: "mailto:a@b.c", 5: "", 6: "/doc/12345678/"}
+MORE_CIPHERS = {
+    11: "Ф.Р-79 Оп.1 Д.2162 Планы уезда ГБУ Архив области",
+    12: "РГИА Ф. 1350 Оп. 312 (кн. 5) Д. 48",
+    13: "дело 1829 1 455 План",
+    14: "ЦГА 1234 / 5 / 67",
+    15: "Ф.12-а оп. 3 Д. 4",
+    16: "МКУ  Городской архив",
+}
+ROWS = {1: "База данных содержит сведения о картах и планах", 2: "Карта", 3: "Карта Пермской губернии с показанием уездов", 4: "ОТДЕЛ: краеведения и картографии, зал третий"}
+PORTALS = {1: "ЭтоМесто: старые карты", 2: "Retromap", 3: "Архив", 4: ""}
+WRITTEN = {1: "Калужская", 2: " пермская", 3: "Смоленск", 4: "Тверская", 5: "яросла", 6: "Калужская губерния", 7: "а"}
+NAMES = {1: "Калужская губерния", 2: "Пермская и Смоленская", 3: "калужская", 4: ""}
+CARDS = {
+    1: "Иванов И.И. Карта\nШифр хранения\nKGR Ko 1\nТема\nГеография России и губерний\nРубрики: Карты\nАннотация: показаны уезды и волости",
+    2: "план\nПетров А.\nТема\nкоротко\nАннотация: мало",
+    3: "Свердловская обл. б-ка; зал; Инв. номер 12",
+    4: "",
+}
+BLOCKS = {1: "a\n\n\nb\n\n\n\n \n\n\nc", 2: "x\n1\nодин\n 23 \nдва\n\n45\nтри", 3: "12345\nнет", 4: "", 5: "7\nсемь"}
+SIGNS = {1: "[Карта]", 2: "[[План] уезда", 3: "Год::", 4: ":", 5: "a b*c~d/e+f?", 6: "Калуга & Пермь"}
+FORMS = {
+    1: "<input type=hidden name='base' value='a'><INPUT TYPE=\"hidden\" NAME=\"base\" VALUE=\"b\"><input type='hidden' name='n'>",
+    2: "<input type='text' name='base' value='c'>",
+    3: "",
+}
+HITS = {1: "Найденных документов по запросу: 41", 2: "Количество записей 20", 3: "Результаты поиска: 1-20 из 106", 4: "НАЙДЕНО: 0", 5: "страница 1 из 7", 6: "ничего"}
 
 
 def spark_table(spark: SparkSession, rows: dict[int, str]) -> DataFrame:

@@ -16,7 +16,10 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-LINK = r'<a\s[^>]*href="([^"]*)"'
+#: An anchor's address, in quotes of either kind or none.
+LINK = r"""(?i)<a\s(?:[^>]*\s)?href\s*=\s*["']?((?<=")[^"]*|(?<=')[^']*|(?<=[=\s])[^\s>"']*)"""
+#: An anchor and its text, which ends with it, where another begins, or with the page.
+ANCHOR = rf"(?s){LINK}[^>]*>(.*?)(?=</a\s*>|<a\s|$)"
 TITLE = r"(?s)<title>(.*?)</title>"
 
 

@@ -1,8 +1,11 @@
 """The catalogues as declarations over captured pages.
 
-A catalogue states how its pages become rows (links, table rows, or one card a
-page), which rows stay, and which repeats go. All of it compiles to one plan
-over (source_id, url, html); only cards need a parser in Python.
+A catalogue states which of its pages to read (all, those of its search, or those
+that links lead to), how pages become rows (links, table rows, cells, blocks of
+text, or one card a page), which rows stay, and which repeats go. A source whose
+pages come in several layouts is the union of as many catalogues. All of it
+compiles to one plan over (source_id, url, html) and, where pages are numbered,
+page_no; only cards need a parser in Python.
 """
 
 from __future__ import annotations
@@ -13,13 +16,12 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from .. import vocabulary as V
-from ..functions import text as T
-from ..operators.curation import keep_first
+from ..functions import fields as D, text as T
+from ..operators.curation import first_n, keep_first
 from . import html as H, records
 from .connector import Registry
 
-LINK_TEXT = r'(?s)<a\s[^>]*href="[^"]*"[^>]*>(.*?)</a>'
-ROW, CELL = r"(?s)<tr\b[^>]*>(.*?)</tr>", r"(?s)<t[dh]\b[^>]*>(.*?)</t[dh]>"
+ROW, CELL = r"(?is)<tr\b[^>]*>(.*?)</tr>", r"(?is)<t[dh]\b[^>]*>(.*?)</t[dh]>"
 # Names of the fields of a card, in order of preference.
 FIELDS = {
     "title": ("Название", "Заглавие", "Заголовок"),
@@ -44,12 +46,10 @@ def plain(html: Column) -> Column:
 
 def link_rows(pages: DataFrame) -> DataFrame:
     """``pages`` with a row per link: pos, href, title (the link's text), body."""
-    html = T.text(F.col("html"))
-    texts = F.regexp_extract_all(html, F.lit(LINK_TEXT), F.lit(1))
-    pairs = F.arrays_zip(H.hrefs(F.col("html")).alias("href"), texts.alias("label"))
-    every = pages.select("*", F.posexplode(pairs).alias("pos", "_link"))
-    title = plain(F.col("_link.label"))
-    return every.select(*pages.columns, "pos", F.col("_link.href").alias("href"), title.alias("title"), title.alias("body"))
+    anchors = F.regexp_extract_all(T.text(F.col("html")), F.lit(H.ANCHOR), F.lit(0))
+    every = pages.select("*", F.posexplode(anchors).alias("pos", "_link"))
+    title = plain(F.regexp_replace("_link", "^<[^>]*>", ""))
+    return every.select(*pages.columns, "pos", F.regexp_extract("_link", H.LINK, 1).alias("href"), title.alias("title"), title.alias("body"))
 
 
 def table_rows(pages: DataFrame) -> DataFrame:
@@ -60,6 +60,57 @@ def table_rows(pages: DataFrame) -> DataFrame:
     return every.select(*pages.columns, "pos", cells.alias("cells"), href.alias("href"), F.array_join(cells, " ").alias("body"))
 
 
+def cell_rows(pages: DataFrame) -> DataFrame:
+    """``pages`` with a row per table cell: pos, href and title of its first link, or its text."""
+    every = pages.select("*", F.posexplode(F.regexp_extract_all(T.text(F.col("html")), F.lit(CELL), F.lit(1))).alias("pos", "_cell"))
+    link = F.regexp_extract("_cell", H.ANCHOR, 0)
+    title = plain(F.when(link != "", F.regexp_replace(link, "^<[^>]*>", "")).otherwise(F.col("_cell")))
+    return every.select(*pages.columns, "pos", F.regexp_extract("_cell", H.LINK, 1).alias("href"), title.alias("title"), plain(F.col("_cell")).alias("body"))
+
+
+def lined(html: Column) -> Column:
+    """Text of a page with its lines: elements that break a line do so here."""
+    out = F.regexp_replace(T.text(html), r"(?i)<br\s*/?>|</(?:p|div|tr|li|td|h[1-6])\s*>", "\n")
+    out = F.regexp_replace(out, "<[^>]*>", "")
+    for name, sign in (("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&amp;", "&")):
+        out = F.replace(out, F.lit(name), F.lit(sign))
+    return F.regexp_replace(out, r"[ \t\r]+", " ")
+
+
+def block_rows(pages: DataFrame) -> DataFrame:
+    """``pages`` with a row per block of lines between blank ones: the first line is the title."""
+    every = pages.select("*", F.posexplode(D.blocks(lined(F.col("html")))).alias("pos", "body"))
+    return every.select(*pages.columns, "pos", F.lit("").alias("href"), T.strip(F.substring_index("body", "\n", 1)).alias("title"), "body")
+
+
+def item_rows(pages: DataFrame) -> DataFrame:
+    """``pages`` (HTML, or JSON that holds it as ``content``) with a row per link to a
+    record and the lines up to the next: pos, href, title, body."""
+    told = F.when(F.startswith(F.ltrim(T.text(F.col("html"))), F.lit("{")), F.get_json_object("html", "$.content")).otherwise(F.col("html"))
+    parts = F.split(T.text(told), r"(?i)(?=<a\s[^>]*/record/)")
+    every = pages.select("*", F.posexplode(F.slice(parts, 2, F.greatest(F.size(parts), F.lit(1)))).alias("pos", "_item"))
+    link = F.regexp_replace(F.regexp_extract("_item", H.ANCHOR, 0), "^<[^>]*>", "")
+    href = F.regexp_extract("_item", H.LINK, 1)
+    return every.select(*pages.columns, "pos", F.concat(T.normal_url(href), F.lit("/")).alias("href"), plain(link).alias("title"), T.strip(lined(F.col("_item"))).alias("body"))
+
+
+def red_rows(pages: DataFrame) -> DataFrame:
+    """``pages`` with a row per cell that begins with a number in red: number, shelfmark, title (the rest)."""
+    every = pages.select("*", F.posexplode(F.regexp_extract_all(T.text(F.col("html")), F.lit(CELL), F.lit(1))).alias("pos", "_cell"))
+    red = r"(?is)<font[^>]*color\s*=\s*[\"']?red[\"']?[^>]*>\s*([0-9]+)\s*</font>(.*)$"
+    lines = F.filter(F.transform(F.split(lined(F.regexp_extract("_cell", red, 2)), "\n"), T.strip), lambda x: x != "")
+    rest = T.strip(F.replace(F.array_join(F.slice(lines, 2, F.greatest(F.size(lines), F.lit(1))), " "), F.lit("Rusmarc"), F.lit("")))
+    own = every.select(*pages.columns, "pos", F.lit("").alias("href"), F.regexp_extract("_cell", red, 1).alias("number"), T.text(F.get(lines, F.lit(0))).alias("shelfmark"), F.substring(rest, 1, 600).alias("title"))
+    return own.where("number <> ''").withColumn("body", F.concat_ws(" ", "shelfmark", "title"))
+
+
+def marc_rows(pages: DataFrame) -> DataFrame:
+    """``pages`` that are MARC records in XML: title, date, author, place, scale, description, body."""
+    own = pages.withColumn("_marc", records.marc_record(F.col("html")))
+    made = [F.col(f"_marc.{n}").alias(n) for n in ("title", "author", "place", "scale", "description", "date")]
+    return own.select(*pages.columns, F.lit(0).alias("pos"), F.col("url").alias("href"), *made, F.col("_marc.title").alias("body"))
+
+
 def card_rows(pages: DataFrame) -> DataFrame:
     """``pages`` with their fields (a map); the page is the record."""
     own = pages.withColumn("fields", H.label_values(F.col("html")))
@@ -120,10 +171,38 @@ def geographic(query: Column) -> Column:
     return T.geo_map(F.col("title"), F.lit(""), V.GEO_WORDS)
 
 
+def a_record(query: Column) -> Column:
+    return D.record_row(F.col("body"), F.col("title"))
+
+
+def map_block(query: Column) -> Column:
+    return T.map_rubric(D.in_line(F.col("body"), "Рубрики"), D.in_line(F.col("body"), "ББК"))
+
+
+def map_item(query: Column) -> Column:
+    return T.map_shelfmark(D.after_label(F.col("body"), "Шифр хранения"))
+
+
+def of_fond(query: Column) -> Column:
+    return (F.size("cells") >= 3) & F.col("body").rlike(r"(?<![0-9])1829\s+1\s+[0-9]+(?![0-9])")
+
+
+def own_domain(query: Column) -> Column:
+    host = F.regexp_extract("page", "^[a-z]+://([^/]+)", 1)
+    return ~F.startswith("href", F.lit("http")) | F.contains("href", host)
+
+
 class Catalogue(NamedTuple):
-    """rows: links, table or card. keep: all must hold. link: pattern of the
-    links that count. title: cell of a table's title, -1 for the whole row.
-    once: columns that make a record the same one; page: within a page only.
+    """rows: links, table, cells, blocks, items, red, marc or card. keep: all
+    must hold. link: pattern of the links that count. title: cell of a table's
+    title, -1 for the whole row. once: columns that make a record the same one;
+    page: within a page only.
+
+    where: pattern of the URLs of the pages to read; via: patterns of the links
+    to follow from there, one by one, to the pages to read (first: that many
+    links of a page at most, if their titles are asked for). slugs: pages by
+    region, those that the query names or all. also: further layouts of the
+    source. most: rows a page of results is worth.
     """
 
     rows: str
@@ -136,62 +215,140 @@ class Catalogue(NamedTuple):
     once: tuple[str, ...] = ()
     page: bool = False
     mode: str = "query"
+    where: str = ""
+    via: tuple[str, ...] = ()
+    first: int = 0
+    slugs: tuple[tuple[str, str], ...] = ()
+    also: tuple[str, ...] = ()
+    most: int = 0
 
 
 LISTED = Catalogue("links", (cartographic,), least=5, once=("url",), page=True)
 UNITS = Catalogue("links", once=("url",))
 CARDS = Catalogue("card", once=("url",))
 CATALOGUES: dict[str, Catalogue] = {
-    "gpib": Catalogue("table", (numbered, cartographic), title=1, cut=200, once=("url", "title")),
+    "gpib": Catalogue("table", (numbered, cartographic), title=1, cut=200, once=("url", "title"), where="^(?!.*cgiirbis)", also=("gpib_opac",)),
     "prlib": Catalogue("links", link="/(item|record|document)/", once=("url",), page=True),
     "runivers": Catalogue("links", link="/mp/|/lib/maps", once=("url",), page=True),
     "rgo": Catalogue("links"),
     "aonb": Catalogue("links", (asked_for,), once=("url",)),
     "permkrai": Catalogue("card", (in_category,), once=("url",)),
-    "nlr_cart": Catalogue("links", (asked_for,), least=5, once=("url",)),
+    "nlr_cart": Catalogue("cells", least=5, cut=200, once=("url", "title"), where="/find", via=("/lc/",), first=20, most=10),
     "yaroslavl_lib": LISTED._replace(keep=(cartographic, asked_for)),
     "regional": LISTED,
-    "etomesto": Catalogue("links", (cartographic_or_dated,), once=("url",), page=True),
+    "etomesto": Catalogue("links", (cartographic_or_dated,), once=("url",), page=True, slugs=V.PORTAL_SLUGS),
     "retromap": Catalogue("links", (region_or_asked_for, cartographic), once=("url",)),
-    "southklad": LISTED,
+    "southklad": LISTED._replace(keep=(cartographic, own_domain), slugs=V.GUBERNIA_SLUGS),
     "qmap": LISTED._replace(least=1),
-    "kaluga_lib": Catalogue("card", (map_subject,)),
+    "kaluga_lib": Catalogue("card", (map_subject,), also=("kaluga_blocks",)),
     "smolensk_lib": Catalogue("card", (of_collection,), mode="walk"),
     "neb": CARDS,
-    "rsl": Catalogue("card", (map_shelfmark,), once=("url",), page=True),
+    "rsl": Catalogue("card", (map_shelfmark,), once=("url",), page=True, where="^(?!.*/search)", also=("rsl_items",)),
     "rgia": CARDS,
     "rosarchive": UNITS._replace(link="/[0-9]{8,}"),
     "ebid": Catalogue("card", (map_kind,), once=("url",)),
-    "garf_1829": Catalogue("table", (territorial,)),
+    "garf_1829": Catalogue("table", (of_fond, territorial)),
     "garf": Catalogue("table", cut=100, dated=False),
-    "gapk": UNITS,
+    "gapk": UNITS._replace(link="/cases?/[0-9]+|/delo/[0-9]+|/documents?/[0-9]+", where="/funds$|/funds[?]", via=("/funds/[0-9]+$", "/inventor(y|ies)/[0-9]+")),
+    "gapk_search": UNITS,
     "gako": UNITS._replace(link="^(?!.*search)"),
     "gayao": UNITS,
     "cgamos": UNITS,
-    "rnb_kart": Catalogue("table", (numbered,), title=-1, dated=False, once=("number",)),
-    "sverdlovsk": Catalogue("table", (geographic,), least=30, once=("title", "year_from")),
+    "rnb_kart": Catalogue("table", (numbered,), title=-1, dated=False, once=("number",), also=("rnb_red",)),
+    "sverdlovsk": Catalogue("table", (a_record, geographic), cut=200, once=("title", "year_from")),
     "kaluga_table": Catalogue("table", cut=150, dated=False),
+    "neb_marc": Catalogue("marc", once=("url",)),
+    "ebid_legacy": CARDS,
+    "archives_legacy": Catalogue("items"),
 }
+#: Further layouts of a source's pages; not sources by themselves.
+LAYOUTS: dict[str, Catalogue] = {
+    "gpib_opac": Catalogue("table", (cartographic,), title=1, least=5, once=("title",), where="cgiirbis"),
+    "kaluga_blocks": Catalogue("blocks", (map_block,)),
+    "rsl_items": Catalogue("items", (map_item,), once=("url",), page=True, where="/search"),
+    "rnb_red": Catalogue("red", dated=False, once=("number",)),
+}
+
+_ROWS = {"links": link_rows, "table": table_rows, "card": card_rows, "cells": cell_rows, "blocks": block_rows, "items": item_rows, "red": red_rows, "marc": marc_rows}
+
+
+def absolute(href: str, page: str) -> Column:
+    """The address that a link of a page leads to; the page itself if it has none."""
+    base = F.regexp_extract(page, "^([a-z]+://[^/]+)", 1)
+    return F.when(F.col(href) == "", F.col(page)).otherwise(T.absolute_url(F.col(href), base))
 
-_ROWS = {"links": link_rows, "table": table_rows, "card": card_rows}
 
+def followed(start: DataFrame, pages: DataFrame, pattern: str, query: Column | None = None, first: int = 0) -> DataFrame:
+    """The ``pages`` that links of ``start`` with this pattern lead to, each once.
 
-def search(pages: DataFrame, source: str, query: str | Column = "", year_from: int | None = None, year_to: int | None = None) -> DataFrame:
+    With ``first``, the first so many such links of a page count, and only those
+    whose titles are asked for.
+    """
+    links = link_rows(start.select("url", "html")).where(F.col("href").rlike(pattern) & (F.col("title") != ""))
+    if first:
+        links = first_n(links, ["url"], ["pos"], first).where(asked_for(query))
+    to = links.select(absolute("href", "url").alias("_to")).distinct()
+    return pages.join(to, F.col("url") == F.col("_to"), "left_semi")
+
+
+def regional(pages: DataFrame, slugs: tuple[tuple[str, str], ...], query: Column) -> DataFrame:
+    """Pages of the regions that the query names, or of all if it names none."""
+    named = [F.contains(F.lower(query), F.lit(stem)) for stem, _ in slugs]
+    here = [F.contains("url", F.lit(slug)) for _, slug in slugs]
+    any_named, own = named[0], named[0] & here[0]
+    for n, h in zip(named[1:], here[1:], strict=True):
+        any_named, own = any_named | n, own | (n & h)
+    other = ~F.greatest(*here)
+    return pages.where(own | ~any_named | other)
+
+
+def search(
+    pages: DataFrame,
+    source: str,
+    query: str | Column = "",
+    year_from: int | None = None,
+    year_to: int | None = None,
+    max_pages: int | None = None,
+    territory: str = "",
+) -> DataFrame:
     """Canonical records of one catalogue's captured pages.
 
     Null pages have no rows; an empty table gives an empty result. Years are
-    those of the title (of a card: of its date too); rows without any pass the
-    bounds. Of repeats the first by page URL and place stays. An unknown source
+    those of the title (of a card: of its date too, of a block of its lines);
+    rows without any pass the bounds. Of repeats the first by page URL and place
+    stays. ``max_pages``: pages numbered higher (page_no, if the table has it) do
+    not count, and where a page is worth so many rows no more than that come
+    back. ``territory`` must be named somewhere in the record. An unknown source
     is a KeyError.
     """
-    c = CATALOGUES[source]
+    if source not in CATALOGUES:
+        raise KeyError(source)
+    own = pages.where(F.col("source_id") == source)
+    if max_pages and "page_no" in pages.columns:
+        own = own.where(F.col("page_no") <= max_pages)
+    own = own.select("source_id", "url", "html")
     asked = query if isinstance(query, Column) else F.lit(query)
-    own = _ROWS[c.rows](pages.where(F.col("source_id") == source).select("source_id", "url", "html"))
+    parts = [CATALOGUES[source], *(LAYOUTS[a] for a in CATALOGUES[source].also)]
+    out = None
+    for part in parts:
+        found = _layout(own, part, source, asked, year_from, year_to, max_pages, territory)
+        out = found if out is None else out.unionByName(found)
+    return out
+
+
+def _layout(pages: DataFrame, c: Catalogue, source: str, asked: Column, year_from: int | None, year_to: int | None, max_pages: int | None, territory: str) -> DataFrame:
+    own = pages.where(F.col("url").rlike(c.where)) if c.where else pages
+    for k, pattern in enumerate(c.via):
+        own = followed(own, pages, pattern, asked, 0 if k else c.first)
+    if c.slugs:
+        own = regional(own, c.slugs, asked)
+    own = _ROWS[c.rows](own)
     if c.rows == "card":
         own = own.withColumn("title", T.first_text(field("title"), H.title(F.col("html"))))
     elif c.rows == "table":
         own = own.withColumn("title", T.text(F.col("body") if c.title < 0 else F.get("cells", F.lit(c.title))))
         own = own.withColumn("number", F.get("cells", F.lit(0)))
+    own = own.drop("html").withColumnRenamed("url", "page")
     if c.rows == "links":
         own = own.where(T.real_href(F.col("href")))
     if c.link:
@@ -199,20 +356,30 @@ def search(pages: DataFrame, source: str, query: str | Column = "", year_from: i
     own = own.where(F.length("title") >= c.least)
     for keep in c.keep:
         own = own.where(keep(asked))
-    first, last = T.years(F.concat_ws(" ", "title", field("date")) if c.rows == "card" else F.col("title"))
+    if territory:
+        own = own.where(D.has(F.concat_ws(" ", "title", "body"), territory))
+    dated = {"card": F.concat_ws(" ", "title", field("date")), "blocks": F.col("body"), "items": F.col("body"), "marc": F.col("date")}
+    first, last = T.years(dated.get(c.rows, F.col("title")))
     own = own.withColumns({"year_from": first, "year_to": last})
     if c.dated:
         own = own.where(T.year_overlap(F.col("year_from"), F.col("year_to"), year_from, year_to))
     if c.cut:
         own = own.withColumn("title", F.substring("title", 1, c.cut))
-    base = F.regexp_extract("page", "^([a-z]+://[^/]+)", 1)
-    found = own.drop("html").withColumnRenamed("url", "page")
-    found = found.withColumn("url", F.when(F.col("href") == "", F.col("page")).otherwise(T.absolute_url(F.col("href"), base)))
+    found = own.withColumn("url", absolute("href", "page"))
     if c.once:
         found = keep_first(found, [*c.once, *(["page"] if c.page else [])], ["page", "pos"])
+    if c.most and max_pages:
+        found = found.orderBy("page", "pos").limit(c.most * max_pages)
     given = {n: F.col(n) for n in ("title", "year_from", "year_to", "url")} | {"description": F.substring("body", 1, 400)}
     if c.rows == "card":
         given |= {"author": field("author"), "place": field("place"), "extra": F.col("fields")}
+    if c.rows == "marc":
+        given |= {n: F.col(n) for n in ("author", "place", "scale", "description")}
+    if c.rows == "items":
+        named = {"shelfmark": D.after_label(F.col("body"), "Шифр хранения"), "subject": D.after_label(F.col("body"), "Тема", 20), "notes": D.after_label(F.col("body"), "Общие примечания"), "access": T.access_class(F.col("body"))}
+        given["extra"] = F.create_map(*[x for k, v in named.items() for x in (F.lit(k), v)])
+    if c.rows == "red":
+        given["extra"] = F.create_map(F.lit("number"), F.col("number"), F.lit("shelfmark"), F.col("shelfmark"))
     return records.canonical(found, source, **given)
 
 

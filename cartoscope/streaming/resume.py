@@ -17,11 +17,18 @@ from ..operators import search
 
 
 def run_available(
-    spark: SparkSession, source: str, schema, step: Callable[[DataFrame], DataFrame], out: str, checkpoint: str, key: str | None = None, files: int = 100
-) -> DataFrame:
-    """Process new Parquet files of ``source`` and return all that ``out`` holds."""
+    spark: SparkSession, source: str, schema, step: Callable[[DataFrame], DataFrame], out: str, checkpoint: str, key: str | None = None, files: int = 100,
+    time: str | None = None, late: str = "7 days",
+) -> DataFrame:
+    """Process new Parquet files of ``source`` and return all that ``out`` holds.
+
+    Repeats of ``key`` go. With ``time``, an event-time column, keys are forgotten
+    ``late`` behind the latest, which bounds the state; without, all are kept.
+    """
     stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", files).parquet(source)
-    if key:
+    if key and time:
+        stream = stream.withWatermark(time, late).dropDuplicatesWithinWatermark([key])
+    elif key:
         stream = stream.dropDuplicates([key])
 
     def write(batch: DataFrame, number: int) -> None:

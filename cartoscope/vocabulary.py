@@ -68,4 +68,38 @@ NOT_MAPS = ("трудового процесса", "технологическ",
 DOCUMENT_TYPES = ("Однотомник", "Многотомник", "Статья", "Дореволюционное", "Аналитика")
 TERRITORY_STEMS = ("Калуж", "Перм", "Смолен", "Яросл", "Москов")
 PORTAL_SLUGS = (("калужская", "kaluga"), ("пермская", "perm"), ("смоленская", "smolensk"), ("ярославская", "yaroslavl"))
+GUBERNIA_SLUGS = (
+    ("калужская", "kaluzhskaya-guberniya"), ("пермская", "permskaya-guberniya"), ("смоленская", "smolenskaya-guberniya"),
+    ("ярославская", "yaroslavskaya-guberniya"),
+)
 CATEGORY = "карты, схемы, планы"
+
+# What to try for each kind of fault, and otherwise.
+WORKAROUNDS = {
+    "403": "Заблокирован по IP или требует авторизацию. Попробовать: VPN (Европа/Россия), изменить User-Agent, авторизоваться вручную и взять cookie.",
+    "404": "Страница поиска изменила URL. Проверить актуальный адрес на сайте вручную.",
+    "429": "Слишком частые запросы. Увеличить delay в _get() до 5–10 сек, добавить паузы между сессиями.",
+    "503": "Сервер временно недоступен. Повторить через несколько часов или дней.",
+    "timeout": "Сервер не отвечает в течение 25 сек. Попробовать в другое время суток. Возможно, сайт на техобслуживании.",
+    "connection": "Нет сетевого соединения с сервером. Проверить блокировки, попробовать VPN.",
+    "ssl": "Проблема с сертификатом SSL. Попробовать requests.get(..., verify=False) с осторожностью.",
+    "empty": "Сайт отвечает, но поиск не возвращает результатов. Возможно, изменилась структура страницы — проверить CSS-селекторы вручную.",
+    "other": "Проверить сайт вручную и обновить searcher_libraries.py если изменилась структура.",
+}
+# Portals, rows that are no records, words of titles that are known to mark maps.
+PORTALS = ("руниверс", "retromap", "southklad", "qmap", "этоместо", "etomesto")
+NO_RECORDS = ("база данных", "формат", "отдел:")
+KNOWN_TRIGGERS = ("план", "карта", "схема", "масштаб", "атлас", "съёмка", "съемка", "чертёж", "чертеж")
+# Patterns of whole shelfmarks, by who writes them so.
+CIPHER_SHAPES = {
+    "gako": r"Ф[.\s][\p{L}\p{N}_.-]+\s+[Оо]п[.\s]\S+\s+Д[.\s]\S+",
+    "gako_row": r"Ф\.\s*[\p{L}\p{N}_-]+\s+[Оо]п\.\s*[0-9]+\s+Д\.\s*[0-9]+",
+    "rgia": r"Ф\.\s*[0-9-]+\s+Оп\.\s*[0-9-]+[^<\n]*Д\.\s*[0-9-]+",
+    "gayao": r"^Ф\.[\p{L}\p{N}_.\s-]+Д\.\s*[\p{L}\p{N}_]+",
+    "kaluga": r"Ф\.Р-[0-9]+\s+Оп\.[0-9]+\s+Д\.[0-9]+",
+    "cgamos": r"[0-9]{3,}\s*/\s*[0-9]+\s*/\s*[0-9]+",
+    "garf": r"1829\s+1\s+[0-9]+",
+}
+ARCHIVE_AT_END = r"(ГБУ|МКУ|ГАУ|ГБУК)\s+[\p{L}\p{N}_\s]+$"
+# How pages tell the number of hits, in order of preference.
+TOTALS = (r"Найденных документов[^:]*:\s*([0-9]+)", r"Количество\s+записей[:\s]*([0-9]+)", r"Результаты[^:]*:\s*[0-9-]+\s+из\s+([0-9]+)", r"Найдено[:\s]*([0-9]+)", r"из\s+([0-9]+)")
