@@ -1,8 +1,10 @@
 """Captured pages as a Spark data source, and the registry of sources.
 
-``spark.read.format("captured_pages").option("path", ...)`` deals the files of
-a folder of Parquet pages out to tasks and yields (source_id, url, html). A
-filter ``source_id = x`` is pushed into the reader. Live HTTP stays off.
+``spark.read.format("captured_pages").option("path", ...)`` deals the row groups
+of a folder of Parquet pages out to tasks and yields (source_id, url, html). The
+option ``source_id`` reads one source only. (Filters are not pushed into the
+reader: a table that is scanned twice shares one, and the second filter would
+hold for both scans.) Live HTTP stays off.
 """
 
 from __future__ import annotations
@@ -12,34 +14,29 @@ from collections.abc import Callable, Iterator
 
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.datasource import DataSource, DataSourceReader, EqualTo, Filter, InputPartition
+from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 
 class PageReader(DataSourceReader):
-    def __init__(self, path: str):
-        self.path, self.source = path, None
-
-    def pushFilters(self, filters: list[Filter]) -> Iterator[Filter]:
-        for f in filters:
-            if isinstance(f, EqualTo) and f.attribute == ("source_id",):
-                self.source = f.value
-            else:
-                yield f
+    def __init__(self, path: str, source: str | None):
+        self.path, self.source = path, source
 
     def partitions(self) -> list[InputPartition]:
         import pyarrow.dataset as ds
 
-        return [InputPartition(f) for f in sorted(ds.dataset(self.path, format="parquet").files)]
+        found = ds.dataset(self.path, format="parquet").get_fragments()
+        return [InputPartition((f.path, g.id)) for f in sorted(found, key=lambda f: f.path) for g in f.row_groups]
 
     def read(self, partition: InputPartition) -> Iterator:
         import pyarrow.compute as pc
         import pyarrow.dataset as ds
 
+        file, group = partition.value
         wanted = None if self.source is None else pc.field("source_id") == self.source
-        data = ds.dataset(partition.value, format="parquet")
-        yield from data.to_batches(columns=["source_id", "url", "html"], filter=wanted)
+        (fragment,) = ds.dataset(file, format="parquet").get_fragments()
+        yield from fragment.subset(row_group_ids=[group]).to_batches(columns=["source_id", "url", "html"], filter=wanted)
 
 
 class CapturedPages(DataSource):
@@ -51,12 +48,11 @@ class CapturedPages(DataSource):
         return "source_id string, url string, html string"
 
     def reader(self, schema) -> PageReader:
-        return PageReader(self.options["path"])
+        return PageReader(self.options["path"], self.options.get("source_id"))
 
 
 def register(spark: SparkSession) -> None:
-    """Make the format known to the session, with filters pushed to its reader."""
-    spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
+    """Make the format known to the session."""
     spark.dataSource.register(CapturedPages)
 
 

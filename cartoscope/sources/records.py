@@ -115,6 +115,15 @@ def reachable(status: Column) -> Column:
     return F.coalesce(status < 400, F.lit(False))
 
 
+def replace(spark: SparkSession, new: str, old: str) -> None:
+    """Put the files of ``new`` in the place of those of ``old``."""
+    source, fs = _path(spark, new)
+    target, _ = _path(spark, old)
+    fs.delete(target, True)
+    if not fs.rename(source, target):
+        raise OSError(f"cannot rename {new}")
+
+
 def _path(spark: SparkSession, path: str):
     made = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     return made, made.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
