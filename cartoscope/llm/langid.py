@@ -12,7 +12,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window, functions as F, types as T
+from pyspark.sql import DataFrame, Window, functions as F
 
 ORDERS = (1, 2, 3, 4)
 UNKNOWN = "und"
@@ -31,6 +31,29 @@ def _letter_codes() -> np.ndarray:
     return _TABLE[0]
 
 
+def pieces(text: str, size: int = 1 << 18) -> Iterator[str]:
+    """The text in pieces of about ``size`` characters, cut at blanks: no n-gram crosses one."""
+    a = 0
+    while a < len(text):
+        b = a + size
+        while b < len(text) and not text[b].isspace():
+            b += 1
+        yield text[a:b]
+        a = b
+
+
+def gram_counts(text: str) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys of a text's n-grams and their counts; a long text is counted piece by piece."""
+    grams, counts = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    for piece in pieces(text):
+        own, n = np.unique(gram_keys(piece), return_counts=True)
+        if len(grams):
+            own, at = np.unique(np.concatenate([grams, own]), return_inverse=True)
+            n = np.bincount(at, weights=np.concatenate([counts, n])).astype(np.int64)
+        grams, counts = own, n
+    return grams, counts
+
+
 def gram_keys(text: str) -> np.ndarray:
     """Keys of all n-grams of a lower-cased text. Words are runs of letters with
     one blank on either side; a blank may only be an n-gram's first or last."""
@@ -57,7 +80,10 @@ def gram_keys(text: str) -> np.ndarray:
 
 def ranked(keys: np.ndarray, length: int) -> np.ndarray:
     """The ``length`` most frequent keys, most frequent first, ties by key."""
-    grams, counts = np.unique(keys, return_counts=True)
+    return most_frequent(*np.unique(keys, return_counts=True), length)
+
+
+def most_frequent(grams: np.ndarray, counts: np.ndarray, length: int) -> np.ndarray:
     if len(grams) > length:
         least = -np.partition(-counts, length - 1)[length - 1]
         grams, counts = grams[counts >= least], counts[counts >= least]
@@ -68,8 +94,9 @@ def _count_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         texts, langs = batch.column(0), batch.column(1).to_pylist()
         for lang in sorted(set(langs)):
-            keys = [gram_keys(t.as_py()) for t, x in zip(texts, langs, strict=True) if x == lang]
-            grams, counts = np.unique(np.concatenate(keys), return_counts=True)
+            found = [gram_counts(t.as_py()) for t, x in zip(texts, langs, strict=True) if x == lang]
+            grams, at = np.unique(np.concatenate([g for g, _ in found]), return_inverse=True)
+            counts = np.bincount(at, weights=np.concatenate([n for _, n in found]), minlength=len(grams)).astype(np.int64)
             yield pa.RecordBatch.from_arrays(
                 [pa.array([lang] * len(grams)), pa.array(grams.view(np.int64)), pa.array(counts)], names=["lang", "gram", "n"]
             )
@@ -110,7 +137,7 @@ class Ranker:
             self.ranks[np.searchsorted(every, np.asarray(p, np.int64).view(np.uint64)), j] = np.arange(len(p))
 
     def distances(self, text: str) -> tuple[np.ndarray, int]:
-        own = ranked(gram_keys(text), self.length)
+        own = most_frequent(*gram_counts(text), self.length)
         at = np.minimum(np.searchsorted(self.keys, own), len(self.keys) - 1)
         at = np.where(self.keys[at] == own, at, len(self.keys))
         ranks = self.ranks[at]
@@ -122,6 +149,8 @@ class Ranker:
         if not text or not any(map(str.isalpha, text)):
             return UNKNOWN, 0.0
         apart, most = self.distances(text)
+        if not most:
+            return UNKNOWN, 0.0
         best = int(np.argmin(apart))
         return self.langs[best], float(1 - apart[best] / most)
 
@@ -131,20 +160,22 @@ def identify(docs: DataFrame, profiles: dict[str, list[int]], length: int = 400)
 
     Text that is null or has no letter: ``und`` and 0. Without profiles every
     text is ``und``. Ties go to the alphabetically first language. Columns of
-    the input named lang_pred or score are replaced.
+    the input named lang_pred or score are replaced. An empty table gives an
+    empty result; repeated rows are told alike.
     """
     docs = docs.drop("lang_pred", "score")
     if not profiles:
         return docs.withColumns({"lang_pred": F.lit(UNKNOWN), "score": F.lit(0.0)})
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+
+    @F.arrow_udf("struct<lang_pred:string,score:double>")
+    def predict(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         ranker = Ranker(profiles, length)
-        for batch in batches:
-            found = [ranker.predict(t.as_py()) for t in batch.column("text")]
-            arrays = [*batch.columns, pa.array([x[0] for x in found], pa.string()), pa.array([x[1] for x in found], pa.float64())]
-            yield pa.RecordBatch.from_arrays(arrays, names=[*batch.schema.names, "lang_pred", "score"])
+        for batch in texts:
+            found = [ranker.predict(t.as_py()) for t in batch]
+            yield pa.StructArray.from_arrays([pa.array([x[0] for x in found], pa.string()), pa.array([x[1] for x in found], pa.float64())], names=["lang_pred", "score"])
 
-    out = T.StructType([*docs.schema.fields, T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
-    return docs.mapInArrow(run, out)
+    told = docs.select(F.struct("*").alias("own"), predict("text").alias("told"))
+    return told.select("own.*", "told.*")
 
 
 def held_out(doc_id, folds: int, fold: int = 2):
