@@ -16,6 +16,7 @@ of both; everything that meets at one vector is linked to the least of them.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -26,23 +27,34 @@ from pyspark.sql import Column, DataFrame, functions as F
 from .storage import forget, store
 
 SEED = 42
+_BLANK = re.compile(rb"[ \t\n\x0b\x0c\r]")
 GOLAY_POLYNOMIAL = 0xC75
 SEGMENTS = ((0, 22), (22, 21), (43, 21))
 _GOLAY: list[np.ndarray] = []
 
 
+def _pieces(data: bytes, size: int = 1 << 18) -> Iterator[list[bytes]]:
+    """Lower-cased words of about ``size`` bytes at a time."""
+    a = 0
+    while a < len(data):
+        cut = _BLANK.search(data, a + size)
+        b = cut.end() if cut else len(data)
+        yield data[a:b].lower().split()
+        a = b
+
+
 def fingerprint(text: str | None) -> int:
-    """Bitwise majority of XXH64 over the 3-word shingles; 0 without words."""
-    words = (text or "").encode("utf-8", "surrogatepass").lower().split()
-    if not words:
-        return 0
-    shingles = list(map(b" ".join, zip(words, words[1:], words[2:], strict=False))) or [b" ".join(words)]
+    """Bitwise majority of XXH64 over the 3-word shingles; 0 without words. A long text is read in pieces."""
     digest = xxhash.xxh64_digest
-    hashed = np.frombuffer(b"".join([digest(s, SEED) for s in shingles]), dtype=np.uint8).reshape(-1, 8)
-    ones = np.zeros(64, dtype=np.int64)
-    for at in range(0, len(hashed), 1 << 16):
-        ones += np.unpackbits(hashed[at : at + (1 << 16)], axis=1).sum(axis=0, dtype=np.int64)
-    return int.from_bytes(np.packbits(2 * ones > len(hashed)).tobytes(), "big")
+    ones, n, words = np.zeros(64, dtype=np.int64), 0, []
+    for piece in _pieces((text or "").encode("utf-8", "surrogatepass")):
+        words = words[-2:] + piece
+        hashed = b"".join([digest(s, SEED) for s in map(b" ".join, zip(words, words[1:], words[2:], strict=False))])
+        ones += np.unpackbits(np.frombuffer(hashed, dtype=np.uint8).reshape(-1, 8), axis=1).sum(axis=0, dtype=np.int64)
+        n += len(hashed) // 8
+    if not n and words:
+        ones, n = np.unpackbits(np.frombuffer(digest(b" ".join(words), SEED), dtype=np.uint8)).astype(np.int64), 1
+    return int.from_bytes(np.packbits(2 * ones > n).tobytes(), "big") if n else 0
 
 
 def _fingerprints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -160,14 +172,16 @@ def one_each(docs: DataFrame, dense: int = 64) -> DataFrame:
 
     It is the row with the least doc_id, then text hash; a null doc_id comes
     last. Rows are told apart by a number that is written down with them, so
-    repeated and null doc_ids take no other row along.
+    repeated and null doc_ids take no other row along. Null and empty texts are
+    one group. An empty table gives an empty result; all columns stay, whatever
+    their names.
     """
-    rows = store(docs.withColumn("_row", F.monotonically_increasing_id()), "simhash-rows")
-    marked = rows.select("_row", "doc_id", F.xxhash64("text").alias("hash"), "text").mapInArrow(_fingerprints, "_row long, doc_id long, hash long, fp long")
-    marked = store(marked, "simhash")
-    known = _least(marked, F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "hash", "_row"), dense)
-    gone = marked.join(known, marked.fp == known.of).where(F.col("_row") != F.col("least._row")).select("_row")
-    return rows.join(gone, "_row", "left_anti").select(*docs.columns)
+    rows = store(docs.select(F.struct("*").alias("own"), F.monotonically_increasing_id().alias("row")), "simhash-rows")
+    own = rows.select("row", F.col("own.doc_id").cast("long").alias("doc_id"), F.xxhash64("own.text").alias("hash"), F.col("own.text").alias("text"))
+    marked = store(own.mapInArrow(_fingerprints, "row long, doc_id long, hash long, fp long"), "simhash")
+    known = _least(marked, F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "hash", "row"), dense)
+    gone = marked.join(known, marked.fp == known.of).where(F.col("row") != F.col("least.row")).select("row")
+    return rows.join(gone, "row", "left_anti").select("own.*")
 
 
 def near_duplicates(docs: DataFrame, dense: int = 64) -> DataFrame:
@@ -179,7 +193,7 @@ def near_duplicates(docs: DataFrame, dense: int = 64) -> DataFrame:
     doc_id are kept; they count in their component only when it has no other
     id, whose component_id is then null. Repeated rows stay repeated.
     """
-    marked = store(docs.select(F.col("doc_id"), "text").mapInArrow(_fingerprints, "doc_id long, fp long"), "simhash")
+    marked = store(docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(_fingerprints, "doc_id long, fp long"), "simhash")
     known = _least(marked, F.col("doc_id"), dense).withColumnRenamed("least", "component_id")
     hexed = F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint")
     return marked.join(known, marked.fp == known.of).select("doc_id", hexed, "component_id")
