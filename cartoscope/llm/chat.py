@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame, functions as F
 
 _ESCAPED = re.compile(r"(<(?=\\+/?s>)|\[(?=\\+/?(?:INST|ROLE)\]))\\")
 _CONTROL = re.compile(r"</?s>|\[/?(?:INST|ROLE)\]")
+_OPENING = max(map(len, ("<s>[INST] ", "<s>[ROLE]")))
 _PLAIN = re.compile(r"(<(?=\\*/?s>)|\[(?=\\*/?(?:INST|ROLE)\]))")
 
 
@@ -43,11 +44,18 @@ def render(role: str, text: str) -> str:
     return f"<s>[ROLE]{role}[/ROLE]{text}</s>"
 
 
+class Unfinished(ValueError):
+    """The text ends within a turn."""
+
+
 def parse(formatted: str, at: int = 0) -> tuple[str, str, int]:
-    """Role, text and end of the turn that begins at ``at``; ValueError if none does or a control string is in it."""
+    """Role, text and end of the turn that begins at ``at``; ValueError if none does
+    or a control string is in it, :class:`Unfinished` if the text ends first."""
 
     def upto(mark: str, start: int) -> tuple[str, int]:
-        end = formatted.index(mark, start)
+        end = formatted.find(mark, start)
+        if end < 0:
+            raise Unfinished(f"no {mark} follows")
         if _CONTROL.search(formatted, start, end):
             raise ValueError("a control string inside a turn")
         return unescape(formatted[start:end]), end + len(mark)
@@ -80,42 +88,84 @@ def format_turn(role: str, text: str) -> str:
     return segment
 
 
-def _segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _segments(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
+    conv_id, held = None, ""
     for batch in batches:
-        made = [format_turn(r or "", t or "") for r, t in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True)]
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(made, pa.string())], names=["conv_id", "segment"])
-
-
-def segments(turns: DataFrame) -> DataFrame:
-    """conv_id and segment of each turn; concatenated in the order of the rows,
-    a conversation's segments are its formatted text. Conversations are whole
-    within partitions and ordered by turn, then role and text (nulls first).
-    Null role or text count as empty; repeated rows are turns of their own.
+        ids, made = [], []
+
+        def put(text: str, ids=ids, made=made) -> None:
+            ids.append(conv_id)
+            made.append(text)
+
+        for own, role, text in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
+            if own != conv_id and held:
+                put(held)
+                held = ""
+            conv_id = own
+            held += format_turn(role or "", text or "")
+            for a in range(0, len(held) - size, size):
+                put(held[a : a + size])
+            held = held[(len(held) - 1) // size * size :]
+        if made:
+            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(made, pa.string())], names=["conv_id", "segment"])
+    if held:
+        yield pa.RecordBatch.from_arrays([pa.array([conv_id], pa.int64()), pa.array([held])], names=["conv_id", "segment"])
+
+
+def segments(turns: DataFrame, size: int = 1 << 16) -> DataFrame:
+    """conv_id and segment: the formatted text of each conversation, in segments of
+    ``size`` characters that end wherever they do. Conversations are whole within
+    partitions and ordered by turn, then role and text (nulls first); a task
+    holds a segment and a turn at a time. Null role or text count as empty;
+    repeated rows are turns of their own, a null conv_id is a conversation too.
+    Other columns do not matter; an empty table gives no segment.
     """
-    own = turns.select("conv_id", "turn", "role", "text")
+    own = turns.select(F.col("conv_id").cast("long").alias("conv_id"), "turn", "role", "text")
     ordered = own.repartition("conv_id").sortWithinPartitions("conv_id", "turn", "role", "text")
-    return ordered.select("conv_id", "role", "text").mapInArrow(_segments, "conv_id long, segment string")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return _segments(batches, size)
+
+    return ordered.select("conv_id", "role", "text").mapInArrow(run, "conv_id long, segment string")
 
 
 class _Reader:
-    """Digests of one conversation, read back turn by turn."""
+    """Digests of one conversation, parsed from its text as that arrives. Nothing but the grammar says where a turn ends."""
 
     def __init__(self, conv_id: int | None):
         self.conv_id, self.n, self.chars, self.loss = conv_id, 0, 0, 0
         self.turns, self.assistant = hashlib.sha256(), hashlib.sha256()
+        self.held: list[str] = []
 
     def read(self, formatted: str) -> None:
-        at = 0
-        while at < len(formatted):
-            role, text, at = parse(formatted, at)
-            self.n += 1
-            self.turns.update(f"{role}\n{text}\n".encode("utf-8", "surrogatepass"))
-            if role == "assistant":
-                self.loss += len(text)
-                self.assistant.update(text.encode("utf-8", "surrogatepass"))
         self.chars += len(formatted)
+        end = self.held[-1][-3:] if self.held else ""
+        self.held.append(formatted)
+        if "</s>" in end + formatted:  # else no turn ends here
+            self._parse()
+
+    def _parse(self) -> None:
+        text, at = "".join(self.held), 0
+        try:
+            while len(text) - at >= _OPENING:
+                role, said, at = parse(text, at)
+                self._turn(role, said)
+        except Unfinished:
+            pass
+        self.held = [text[at:]] if at < len(text) else []
+
+    def _turn(self, role: str, text: str) -> None:
+        self.n += 1
+        self.turns.update(f"{role}\n{text}\n".encode("utf-8", "surrogatepass"))
+        if role == "assistant":
+            self.loss += len(text)
+            self.assistant.update(text.encode("utf-8", "surrogatepass"))
 
     def row(self) -> tuple:
+        rest, at = "".join(self.held), 0
+        while at < len(rest):
+            role, text, at = parse(rest, at)
+            self._turn(role, text)
         return self.conv_id, self.n, self.turns.hexdigest(), self.loss, self.assistant.hexdigest(), self.chars
 
 
@@ -145,8 +195,8 @@ def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def digests(formatted: DataFrame) -> DataFrame:
     """What the formatted text of each conversation says when read back: a row
-    per conv_id (null is a conversation too). State is one conversation's
-    counters; its text passes by turn."""
+    per conv_id (null is a conversation too). The text of a conversation is parsed
+    as one, whatever its segments; state is its counters and the turn that is open."""
     return formatted.mapInArrow(_digests, "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long")
 
 
