@@ -10,7 +10,9 @@ word knows its largest weight in each block that has it. A query visits blocks
 by falling upper bound and stops when no block can reach its k-th neighbour, so
 the neighbours are exact. Words that no example has are in no product and do
 not count in a text's length. Votes are weighted by similarity and by how common
-the label is outside the sample, and shrink to the base rate.
+the label is outside the sample, and shrink to the base rate; a logistic map,
+fitted to the votes that each example gets from the others, makes them
+probabilities.
 """
 
 from __future__ import annotations
@@ -42,6 +44,8 @@ class Index(NamedTuple):
     weight: np.ndarray
     rate: float  # share of label 1 among all labelled rows to learn from
     odds: float  # weight of a label-1 vote against a label-0 vote
+    slope: float = 1.0  # of the map from log odds of a vote to log odds of label 1
+    shift: float = 0.0
 
 
 def bags(column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
@@ -167,16 +171,50 @@ def vote(index: Index, found: np.ndarray, scores: np.ndarray, prior: float) -> f
     return float((for_it + prior * index.rate) / (for_it + against + prior))
 
 
-def fit(docs: DataFrame, labels: DataFrame, fit_rows: int = 4000, folds: int = 4) -> Index:
+def _log_odds(p: np.ndarray) -> np.ndarray:
+    p = np.clip(p, 1e-4, 1 - 1e-4)
+    return np.log(p / (1 - p))
+
+
+def calibrated(index: Index, votes: np.ndarray) -> np.ndarray:
+    return 1 / (1 + np.exp(-(index.slope * _log_odds(votes) + index.shift)))
+
+
+def calibrate(index: Index, rows: list[tuple], k: int, prior: float, steps: int = 50) -> Index:
+    """``index`` with the logistic map that fits the labels best, given each example's
+    vote without itself; with few examples it stays near the identity."""
+    votes = np.zeros(len(rows))
+    for i, (d, _, hashes, counts) in enumerate(rows):
+        found, cosine = nearest(index, *_vector(hashes, counts, index.words, index.idf), k + 1)
+        others = index.ids[found] != d
+        votes[i] = vote(index, found[others][:k], cosine[others][:k], prior)
+    x, y = _log_odds(votes), np.array([r[1] for r in rows], dtype=np.float64)
+    weight = np.where(y == 1, index.odds, 1.0)
+    a, b = 1.0, 0.0
+    for _ in range(steps if 0 < y.sum() < len(y) else 0):
+        p = 1 / (1 + np.exp(-(a * x + b)))
+        s = weight * p * (1 - p)
+        slope = np.array([(weight * (y - p) * x).sum() - (a - 1), (weight * (y - p)).sum() - b])
+        bend = np.array([[(s * x * x).sum() + 1, (s * x).sum()], [(s * x).sum(), s.sum() + 1]])
+        step = np.linalg.solve(bend, slope)
+        a, b = a + step[0], b + step[1]
+        if np.abs(step).max() < 1e-9:
+            break
+    return index._replace(slope=max(float(a), 0.0), shift=float(b))
+
+
+def fit(docs: DataFrame, labels: DataFrame, fit_rows: int = 4000, folds: int = 4, k: int = 25, prior: float = 0.25) -> Index:
     """Index over a sample of the labelled rows that are not held out.
 
     ``fit_rows`` bounds the sample: about a quarter label 1 and three quarters
     label 0, by a hash of doc_id; if a label has fewer rows, all of them. Of
     contradicting labels the larger counts; null labels count for nothing.
-    Frequencies of the sample's words are counted over all of ``docs``.
+    Frequencies of the sample's words are counted over all of ``docs``. ``k`` and
+    ``prior`` are those that :func:`score` is to use.
     """
     spark = docs.sparkSession
-    own = labels.where("toxic is not null and doc_id is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    own = labels.where("toxic is not null and doc_id is not null").groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max("toxic").alias("toxic"))
     own = own.where(~held_out(F.col("doc_id"), folds))
     sizes = {r["toxic"]: r["n"] for r in own.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     total, ones = sum(sizes.values()), sizes.get(1, 0)
@@ -221,15 +259,15 @@ def fit(docs: DataFrame, labels: DataFrame, fit_rows: int = 4000, folds: int = 4
     rate = ones / total if total else 0.0
     in_sample = sum(r[1] == 1 for r in rows)
     odds = (rate / (1 - rate)) * (len(rows) - in_sample) / in_sample if 0 < in_sample < len(rows) and 0 < rate < 1 else 1.0
-    return build(rows, words, idf, rate, odds)
+    return calibrate(build(rows, words, idf, rate, odds), rows, k, prior)
 
 
 def score(docs: DataFrame, index: Index, k: int = 25, prior: float = 0.25, evidence: int = 5) -> DataFrame:
     """doc_id, score and evidence (doc_ids of the nearest examples) of each row.
 
     Null and empty texts, and texts that share no word with an example, have no
-    neighbour: they score the base rate. Without labelled rows it is 0. Null
-    and repeated doc_ids are kept.
+    neighbour: their vote is the base rate. Without labelled rows it is 0. Null
+    and repeated doc_ids are kept; ties between neighbours go by their place.
     """
     shared = docs.sparkSession.sparkContext.broadcast(tuple(index))
 
@@ -240,6 +278,7 @@ def score(docs: DataFrame, index: Index, k: int = 25, prior: float = 0.25, evide
             for i, hashes, counts in bags(batch.column(1)):
                 found, cosine = nearest(own, *_vector(hashes, counts, own.words, own.idf), k)
                 scores[i], near[i] = vote(own, found, cosine, prior), own.ids[found[:evidence]]
+            scores = calibrated(own, scores)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(scores), pa.array(near, pa.list_(pa.int64()))], names=["doc_id", "score", "evidence"])
 
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, score double, evidence array<long>")
