@@ -338,14 +338,14 @@ def clean(
     limits = Limits(width, long_run, share, torn)
 
     def keep(bench: Benchmark):
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                good = np.ones(batch.num_rows, dtype=bool)
-                good[[m.doc for m in matches(batch.column("text"), bench, limits)]] = False
-                yield batch.filter(pa.array(good))
+        @F.arrow_udf("boolean")
+        def good(texts: pa.Array) -> pa.Array:
+            out = np.ones(len(texts), dtype=bool)
+            out[[m.doc for m in matches(texts, bench, limits)]] = False
+            return pa.array(out)
 
-        return run
+        return good
 
     for bench in blocks(benchmark, block_rows, width):
-        docs = docs.mapInArrow(keep(bench), docs.schema)
+        docs = docs.where(keep(bench)("text"))
     return docs

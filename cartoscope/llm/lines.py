@@ -145,6 +145,5 @@ def without(docs: DataFrame, settled: DataFrame) -> DataFrame:
     every = F.sequence(F.lit(0), F.size(lines) - 1)
     stay = F.array_except(every, F.coalesce(drop, F.expr("cast(array() as array<int>)")))
     kept = F.when(drop.isNull(), F.coalesce(text, F.lit(""))).otherwise(F.array_join(F.transform(stay, lambda i: F.get(lines, i)), "\n"))
-    return joined.select(
-        "own.*", kept.alias("kept"), F.size(lines).cast("long").alias("n_lines"), F.coalesce(F.size(drop), F.lit(0)).cast("long").alias("n_dropped")
-    )
+    told = joined.select("own", kept.alias("kept"), F.size(lines).cast("long").alias("n_lines"), F.coalesce(F.size(drop), F.lit(0)).cast("long").alias("n_dropped"))
+    return told.select("own.*", "kept", "n_lines", "n_dropped")
