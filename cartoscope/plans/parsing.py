@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from .. import vocabulary as V
+from .. import gazetteer as G, vocabulary as V
 from ..functions import fields as D, text as T
 from ..operators import curation as C, search as S
 from ..sources import html as H, libraries as L
@@ -218,6 +218,37 @@ def trigger_report(spark, d):
     return C.trigger_report(C.proposals(counts, (*POSITIVE, *DOUBTFUL)), counts)
 
 
+# Administrative units
+_UNITS = "(VALUES " + ", ".join(f"({X.literal(n)}, {X.literal(p)}, '{k}', {a}, {b})" for n, p, k, a, b in G.unit_rows()) + ") u(name, province, kind, year_from, year_to)"
+_PROVINCES = "(VALUES " + ", ".join(f"({X.literal(n)}, {a}, {b})" for n, a, b in G.PROVINCES) + ") p(name, year_from, year_to)"
+
+
+@query(f"SELECT name, province, kind, year_from, year_to FROM {_UNITS}")
+def admin_units(spark, d):
+    return G.units(spark)
+
+
+@query(
+    f"SELECT name, CASE WHEN split_part(name, ' ', 1) IN ({', '.join(X.literal(k) for k in G.DISTRICTS)}) THEN split_part(name, ' ', 1) END AS province, 'Губерния' AS kind, year_from, year_to "
+    f"FROM {_PROVINCES} WHERE year_from <> 1867"
+)
+def missing_provinces(spark, d):
+    return G.missing_provinces(G.provinces(spark).where("year_from = 1867"))
+
+
+@query(
+    f"SELECT doc_id, u.name AS unit FROM (SELECT doc_id, (['Ростовский уезд', 'Калужская', 'Пермский уезд', 'Бельский уезд'])[CAST(doc_id % 5 AS INTEGER) + 1] || ' ' || text AS title, 1700 + doc_id % 300 AS y FROM documents) "
+    f"JOIN {_UNITS} ON contains(title, u.name) AND y BETWEEN u.year_from AND u.year_to"
+)
+def units_in_force(spark, d):
+    names = F.array(*map(F.lit, ("Ростовский уезд", "Калужская", "Пермский уезд", "Бельский уезд")))
+    year = (1700 + F.col("doc_id") % 300).cast("int")
+    docs = table(spark, d, "documents")
+    title = F.concat(F.get(names, (F.col("doc_id") % 5).cast("int")), F.lit(" "), "text")
+    rows = docs.select("doc_id", title.alias("title"), year.alias("year_from"), year.alias("year_to"))
+    return G.in_force(rows, G.units(spark)).select("doc_id", "unit")
+
+
 # Sources, over pages made of documents
 _BLANK = r"[ \t\n\r\f\x0b]+"
 _SHORT = f"trim(left(regexp_replace(regexp_replace(text, '[0-9]', '', 'g'), '{_BLANK}', ' ', 'g'), 60))"
@@ -348,6 +379,25 @@ def source_neb_marc(spark, d):
     return found(captured(rows, "neb_marc", "http://marc/{id}", xml), "neb_marc")
 
 
+@query(record("archives_legacy", "'http://arch/unit/' || doc_id") + f" WHERE {_IN_TIME}")
+def source_archives_legacy(spark, d):
+    html = '<article class="x"><h2>{safe}</h2><a href="/unit/{id}">open</a><span class="date">{year} г.</span></article><div>Карта 1800</div>'
+    rows = made(spark, d).withColumn("year", (1700 + F.col("doc_id") % 300).cast("string"))
+    return found(captured(rows, "archives_legacy", "http://arch/search?{id}", html), "archives_legacy")
+
+
+@query(record("ebid_legacy", "'http://card/' || doc_id") + f" WHERE {_IN_TIME} AND doc_id % 2 = 0")
+def source_ebid_legacy(spark, d):
+    """Documents whose territory, or failing that whose title, names the territory asked for."""
+    return found(_cards(spark, d, "ebid_legacy", "Территория", "Пермская губерния", "Тверь"), "ebid_legacy", territory="Пермская")
+
+
+@query(record("rgia", "'http://card/' || doc_id") + f" WHERE {_IN_TIME} AND doc_id % 2 = 1")
+def source_rgia_index(spark, d):
+    """Cards of the subject index whose title, group or notes name the territory."""
+    return found(_cards(spark, d, "rgia", "Наименование группы", "Прочее", "Карты Калужской губернии"), "rgia", territory="калужской")
+
+
 @query(record("sverdlovsk", "'http://sv/list/' || doc_id", "left('Уезд ' || title, 200)") + " WHERE doc_id % 2 = 0 AND length('Уезд ' || title) >= 30")
 def source_sverdlovsk(spark, d):
     rows = made(spark, d).withColumn("head", F.when(F.col("doc_id") % 2 == 0, "Уезд").otherwise("Отдел: уезд"))

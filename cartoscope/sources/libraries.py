@@ -94,6 +94,18 @@ def item_rows(pages: DataFrame) -> DataFrame:
     return every.select(*pages.columns, "pos", F.concat(T.normal_url(href), F.lit("/")).alias("href"), plain(link).alias("title"), T.strip(lined(F.col("_item"))).alias("body"))
 
 
+def article_rows(pages: DataFrame) -> DataFrame:
+    """``pages`` with a row per article or result item: title (its heading), href, date, body."""
+    begin = r"""(?i)(?=<article\b|<[a-z]+[^>]*class=["'][^"']*result-item)"""
+    every = pages.select("*", F.posexplode(F.split(T.text(F.col("html")), begin)).alias("pos", "_item"))
+    every = every.where(F.col("_item").rlike(r"""(?i)^<article\b|^<[a-z]+[^>]*class=["'][^"']*result-item"""))
+    own = F.regexp_replace("_item", r"(?is)</article>.*$", "")
+    heading = r"""(?is)<(?:h2|h3|[a-z]+[^>]*class=["']title["'])[^>]*>(.*?)</"""
+    date = r"""(?is)<(?:time|[a-z]+[^>]*class=["'](?:date|year)["'])[^>]*>(.*?)</"""
+    made = {"href": F.regexp_extract(own, H.LINK, 1), "title": plain(F.regexp_extract(own, heading, 1)), "date": plain(F.regexp_extract(own, date, 1)), "body": plain(own)}
+    return every.select(*pages.columns, "pos", *[c.alias(n) for n, c in made.items()])
+
+
 def red_rows(pages: DataFrame) -> DataFrame:
     """``pages`` with a row per cell that begins with a number in red: number, shelfmark, title (the rest)."""
     every = pages.select("*", F.posexplode(F.regexp_extract_all(T.text(F.col("html")), F.lit(CELL), F.lit(1))).alias("pos", "_cell"))
@@ -193,7 +205,7 @@ def own_domain(query: Column) -> Column:
 
 
 class Catalogue(NamedTuple):
-    """rows: links, table, cells, blocks, items, red, marc or card. keep: all
+    """rows: links, table, cells, blocks, items, articles, red, marc or card. keep: all
     must hold. link: pattern of the links that count. title: cell of a table's
     title, -1 for the whole row. once: columns that make a record the same one;
     page: within a page only.
@@ -259,7 +271,9 @@ CATALOGUES: dict[str, Catalogue] = {
     "kaluga_table": Catalogue("table", cut=150, dated=False),
     "neb_marc": Catalogue("marc", once=("url",)),
     "ebid_legacy": CARDS,
-    "archives_legacy": Catalogue("items"),
+    "archives_legacy": Catalogue("articles"),
+    "kaluga_legacy": LISTED,
+    "smolensk_legacy": LISTED,
 }
 #: Further layouts of a source's pages; not sources by themselves.
 LAYOUTS: dict[str, Catalogue] = {
@@ -269,7 +283,7 @@ LAYOUTS: dict[str, Catalogue] = {
     "rnb_red": Catalogue("red", dated=False, once=("number",)),
 }
 
-_ROWS = {"links": link_rows, "table": table_rows, "card": card_rows, "cells": cell_rows, "blocks": block_rows, "items": item_rows, "red": red_rows, "marc": marc_rows}
+_ROWS = {"links": link_rows, "table": table_rows, "card": card_rows, "cells": cell_rows, "blocks": block_rows, "items": item_rows, "red": red_rows, "marc": marc_rows, "articles": article_rows}
 
 
 def absolute(href: str, page: str) -> Column:
@@ -358,7 +372,7 @@ def _layout(pages: DataFrame, c: Catalogue, source: str, asked: Column, year_fro
         own = own.where(keep(asked))
     if territory:
         own = own.where(D.has(F.concat_ws(" ", "title", "body"), territory))
-    dated = {"card": F.concat_ws(" ", "title", field("date")), "blocks": F.col("body"), "items": F.col("body"), "marc": F.col("date")}
+    dated = {"card": F.concat_ws(" ", "title", field("date")), "blocks": F.col("body"), "items": F.col("body"), "marc": F.col("date"), "articles": F.col("date")}
     first, last = T.years(dated.get(c.rows, F.col("title")))
     own = own.withColumns({"year_from": first, "year_to": last})
     if c.dated:
