@@ -188,10 +188,10 @@ def _count_bigrams(batches: Iterator[pa.RecordBatch], known: np.ndarray, classed
                 if len(at):
                     held[kind].append(summed([(key, other, np.ones(len(key), np.int64))]))
                     size += len(held[kind][-1][0])
-            if size > 3 * FLUSH:
+            if size > 2 * FLUSH:
                 held = {k: [summed(x)] if x else [] for k, x in held.items()}
                 size = sum(len(y[0]) for x in held.values() for y in x)
-                if size > 2 * FLUSH:
+                if size > 4 * FLUSH // 3:
                     yield from _packed(held, layout)
                     held, size = {k: [] for k in held}, 0
     yield from _packed(held, layout)
