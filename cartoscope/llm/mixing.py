@@ -91,12 +91,10 @@ def _fit(state: DataFrame, dimension: str) -> DataFrame:
 
 def _errors(state: DataFrame, dimensions: list[str]) -> dict[str, float]:
     """Largest relative error of each marginal."""
-    given = F.least("weight", "cap")
-    each = []
-    for d in dimensions:
-        sums = state.groupBy(d).agg(F.sum(given).alias("w"), F.first(f"target_{d}").alias("t")).where("t > 0")
-        each.append(sums.agg(F.lit(d).alias("d"), F.max(F.abs(F.col("w") / F.col("t") - 1)).alias("error")))
-    return {r["d"]: r["error"] or 0.0 for r in reduce(DataFrame.unionAll, each).collect()}
+    each = F.explode(F.array(*[F.struct(F.lit(d).alias("d"), F.col(d).alias("value"), F.col(f"target_{d}").alias("t")) for d in dimensions]))
+    sums = state.select(each.alias("m"), F.least("weight", "cap").alias("w")).groupBy("m").agg(F.sum("w").alias("w")).where("m.t > 0")
+    worst = sums.groupBy("m.d").agg(F.max(F.abs(F.col("w") / F.col("m.t") - 1)).alias("error"))
+    return {d: 0.0 for d in dimensions} | {r["d"]: r["error"] for r in worst.collect()}
 
 
 def rake(cells: DataFrame, targets: dict[str, DataFrame], keep: float | None = None, tolerance: float = 1e-6, most: int = 60) -> DataFrame:
