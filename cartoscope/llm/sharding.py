@@ -105,16 +105,14 @@ def shard_of(k1: Column, k2: Column, cuts: list[tuple[int, int]]) -> Column:
     return out.cast("int")
 
 
-def assign(rows: DataFrame, cuts: list[tuple[int, int]], lot: int = 20_000) -> DataFrame:
+def assign(rows: DataFrame, cuts: list[tuple[int, int]], lots: int) -> DataFrame:
     """``rows`` (own, k1, k2, size), a table in storage, with shard and slot.
 
     Slots number a shard's rows from 0 without gaps. Rows go once through an
-    exchange by (shard, lot), lots being equal hash ranges of about ``lot`` rows
-    whatever the texts are, and are numbered within their lot; lot counts give
-    the offsets.
+    exchange by (shard, lot), ``lots`` being equal hash ranges of a shard whatever
+    the texts are, and are numbered within their lot; lot counts give the offsets.
     """
     keys = rows.select("k1", "k2")
-    lots = max(1, keys.count() // (lot * (len(cuts) + 1)))
     shard = shard_of(F.col("k1"), F.col("k2"), cuts)
     piece = F.pmod(F.xxhash64("k2", "k1"), F.lit(lots)).cast("int")
     ahead = Window.partitionBy("shard").orderBy("lot").rowsBetween(Window.unboundedPreceding, -1)
@@ -126,13 +124,15 @@ def assign(rows: DataFrame, cuts: list[tuple[int, int]], lot: int = 20_000) -> D
     return numbered.join(offsets, ["shard", "lot"]).select("own", "size", "shard", slot.alias("slot"))
 
 
-def _placed(docs: DataFrame, own: Column, shards: int, tolerance: float) -> DataFrame:
+def _placed(docs: DataFrame, own: Column, shards: int, tolerance: float, lot: Column) -> DataFrame:
+    """``lot``: how many lots the rows, of which it is an aggregate, are worth."""
     k1, k2 = keyed(F.col("text"), F.col("doc_id"))
     rows = store(docs.select(own.alias("own"), k1.alias("k1"), k2.alias("k2"), size_of(F.col("text")).alias("size")), "shard-rows")
-    return assign(rows, splitters(rows.select("k1", "k2", "size"), shards, tolerance))
+    lots = rows.agg(F.ceil(lot / shards).cast("long")).collect()[0][0] or 1
+    return assign(rows, splitters(rows.select("k1", "k2", "size"), shards, tolerance), max(1, lots))
 
 
-def shard(docs: DataFrame, shards: int = 16, tolerance: float = 0.01) -> DataFrame:
+def shard(docs: DataFrame, shards: int = 16, tolerance: float = 0.01, lot_bytes: int = 8 << 20) -> DataFrame:
     """``docs`` with size, shard and slot; shards hold near equal bytes.
 
     Size is the text's UTF-8 bytes plus one, a null text counting no bytes. Each
@@ -140,13 +140,13 @@ def shard(docs: DataFrame, shards: int = 16, tolerance: float = 0.01) -> DataFra
     place. Rows are told apart by a number that is written down with them, so
     equal rows and null ids are dealt out like any others. An empty table gives
     an empty result. Input columns named size, shard or slot are replaced; all
-    others stay, whatever their names.
+    others stay, whatever their names. A task numbers about ``lot_bytes`` of text.
     """
     docs = docs.drop("size", "shard", "slot")
-    return _placed(docs, F.struct("*"), shards, tolerance).select("own.*", "size", "shard", "slot")
+    return _placed(docs, F.struct("*"), shards, tolerance, F.sum("size") / lot_bytes).select("own.*", "size", "shard", "slot")
 
 
-def shard_table(docs: DataFrame, shards: int = 16, tolerance: float = 0.01) -> DataFrame:
+def shard_table(docs: DataFrame, shards: int = 16, tolerance: float = 0.01, lot_rows: int = 20_000) -> DataFrame:
     """The assignment alone: doc_id, size, text_crc32, law, shard, slot, grown_shard.
 
     No text moves: the exchange carries keys, sizes and checksums. The law is
@@ -154,5 +154,5 @@ def shard_table(docs: DataFrame, shards: int = 16, tolerance: float = 0.01) -> D
     A null text has the checksum of no bytes.
     """
     crc = F.crc32(F.coalesce("text", F.lit(""))).alias("text_crc32")
-    placed = _placed(docs, F.struct("doc_id", crc), shards, tolerance)
+    placed = _placed(docs, F.struct("doc_id", crc), shards, tolerance, F.count("*") / lot_rows)
     return placed.select("own.doc_id", "size", "own.text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
