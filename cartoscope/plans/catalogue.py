@@ -411,9 +411,10 @@ def trigger_proposals(spark, d):
     f"w AS (SELECT word FROM {_TOKENS} ORDER BY cnt DESC, first LIMIT 10) SELECT e.word, e.place::INTEGER AS place, e.doc_id FROM e JOIN w USING (word) WHERE place <= 3"
 )
 def word_examples(spark, d):
-    top = _counts(spark, d).orderBy(F.desc("cnt"), "first").limit(10).select("word")
-    found = table(spark, d, "documents").select("doc_id", F.explode(F.array_distinct(T.tokens(F.col("text"), 4, "а-яёa-z"))).alias("word"))
-    return C.first_n(found.join(F.broadcast(top), "word"), ["word"], ["doc_id"], 3).select("word", "place", "doc_id")
+    top = [r["word"] for r in _counts(spark, d).orderBy(F.desc("cnt"), "first").limit(10).collect()]
+    named = F.array_intersect(F.array(*map(F.lit, top)).cast("array<string>"), T.tokens(F.col("text"), 4, "а-яёa-z"))
+    found = table(spark, d, "documents").select("doc_id", F.explode(named).alias("word"))
+    return C.first_n(found, ["word"], ["doc_id"], 3).select("word", "place", "doc_id")
 
 
 # Reports
