@@ -146,6 +146,27 @@ def test_streaming_states(spark, tmp_path):
     assert sum(r["n"] for r in spark.table("windows_now").collect()) == 4
 
 
+def test_breaker_carries_its_state(spark, tmp_path):
+    rng = random.Random(3)
+    log = [(f"s{g}", i, rng.choices(["hit", "err", "late"], [1, 5, 2])[0]) for g in range(6) for i in range(40)]
+    want = {}
+    for g in range(6):
+        n = 0
+        for s, i, o in (r for r in log if r[0] == f"s{g}"):
+            n = n + 1 if o == "err" else 0 if o == "hit" else n
+            if n >= 5 and o == "err" and s not in want:
+                want[s] = i
+    schema = "source string, seq long, outcome string"
+    for part in range(4):  # four batches
+        rows = [r for r in log if r[1] // 10 == part]
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+        stream = spark.readStream.schema(schema).parquet(str(tmp_path / "in"))
+        out = resume.breaker_stream(stream).writeStream.format("parquet").option("path", str(tmp_path / "out")).option("checkpointLocation", str(tmp_path / "cp"))
+        out.outputMode("append").trigger(availableNow=True).start().awaitTermination()
+    got = [tuple(r) for r in spark.read.parquet(str(tmp_path / "out")).collect()]
+    assert sorted(got) == sorted(want.items()) and len(want) > 2
+
+
 def test_connector_reads_one_source(spark, tmp_path):
     rows = [(s, f"{s}{i}", None if i % 2 else "x") for s in "ab" for i in range(50)]
     spark.createDataFrame(rows, "source_id string, url string, html string").repartition(3).write.parquet(str(tmp_path / "p"))
