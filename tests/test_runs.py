@@ -199,3 +199,19 @@ def test_commands(spark, tmp_path):
     asked = commands.main(spark, ["ask", "Пермской, Тверская", "до 1850", "--detail", "2"])
     assert asked.count() == 11 and {(r["year_from"], r["year_to"]) for r in asked.collect()} == {(1700, 1850)}
     assert commands.main(spark, ["ask", "Тверская", "1800"]).count() == 8
+
+
+def test_rest_collects_without_the_training_data_folders(tmp_path):
+    import shutil
+    import subprocess
+    import sys
+    from pathlib import Path
+
+    root = Path(__file__).resolve().parents[1]
+    leave = shutil.ignore_patterns("llm", "__pycache__", ".git", ".pytest_cache", "corpus_pipeline.py", "spark-warehouse")
+    shutil.copytree(root, tmp_path / "repo", ignore=leave)
+    assert not (tmp_path / "repo" / "corpus_pipeline.py").exists() and not (tmp_path / "repo" / "cartoscope" / "llm").exists()
+    run = lambda *a: subprocess.run([sys.executable, *a], cwd=tmp_path / "repo", check=True, capture_output=True, text=True).stdout
+    assert "test_runs.py" in run("-m", "pytest", "--collect-only", "-q", "tests")
+    code = "import __spark_entry__ as e; q = e.queries(); assert set(q) == set(e.oracle_sql()) and 'source_gpib' in q and 'pipeline' not in q; import cartoscope.commands"
+    run("-c", code)
