@@ -379,6 +379,82 @@ def source_neb_marc(spark, d):
     return found(captured(rows, "neb_marc", "http://marc/{id}", xml), "neb_marc")
 
 
+@query(record("etomesto", "'http://eto/map/' || doc_id") + f" WHERE {_IN_TIME} AND doc_id % 2 = 0")
+def source_etomesto(spark, d):
+    slug = F.when(F.col("doc_id") % 2 == 0, "perm").otherwise("smolensk")
+    return found(captured(made(spark, d).withColumn("slug", slug), "etomesto", "http://eto/map-{slug}/{id}", '<a href="/map/{id}">{safe}</a>'), "etomesto", "Пермская губерния")
+
+
+@query(record("retromap", "'http://ret/map/' || doc_id") + f" WHERE {_IN_TIME} AND doc_id % 3 = 0")
+def source_retromap(spark, d):
+    return found(captured(made(spark, d), "retromap", "http://ret/{id}", '<a href="/map/{id}">{safe}</a>'), "retromap", "карта города")
+
+
+@query(" UNION ALL ".join(record(s, f"'http://{s}/map/' || doc_id") + f" WHERE {_IN_TIME} AND doc_id % 3 < {n}" for s, n in (("qmap", 2), ("yaroslavl_lib", 1), ("regional", 2), ("kaluga_legacy", 2), ("smolensk_legacy", 2))))
+def source_listings(spark, d):
+    rows, out = made(spark, d), None
+    for source in ("qmap", "yaroslavl_lib", "regional", "kaluga_legacy", "smolensk_legacy"):
+        got = found(captured(rows, source, f"http://{source}/{{id}}", '<a href="/map/{id}">{safe}</a><a href="/map/{id}">О сайте</a><a href="mailto:x">{safe}</a>'), source, "карта")
+        out = got if out is None else out.unionAll(got)
+    return out
+
+
+_ROW_UNITS = ("rosarchive", "gako", "gayao", "cgamos", "gapk_search")
+
+
+@query(
+    " UNION ALL ".join(
+        f"SELECT '{s}' AS library_id, 'Дело ' || doc_id AS title, CAST(y AS INTEGER) AS year_from, CAST(y AS INTEGER) AS year_to, 'http://{s}/gako/10000000' || doc_id AS url, "
+        f"'12' AS fund, '3' AS inventory, CAST(doc_id AS VARCHAR) AS \"case\" FROM {_MADE} WHERE {_IN_TIME}"
+        for s in _ROW_UNITS
+    )
+)
+def source_units(spark, d):
+    """Units of archives: the link is the title, its row has the cipher and the years."""
+    rows, out = made(spark, d), None
+    for source in _ROW_UNITS:
+        html = '<table><tr><td><a href="/gako/10000000{id}">Дело {id}</a></td><td>Ф. 12 Оп. 3 Д. {id}</td><td>{safe}</td></tr></table>'
+        own = L.search(captured(rows, source, f"http://{source}/list/{{id}}", html), source, "", 1750, 1850)
+        got = own.select("library_id", "title", "year_from", "year_to", "url", *[F.col("extra")[k].alias(k) for k in ("fund", "inventory", "case")])
+        out = got if out is None else out.unionAll(got)
+    return out
+
+
+@query(record("ebid", "'http://card/' || doc_id") + f" WHERE {_IN_TIME} AND doc_id % 2 = 1")
+def source_ebid(spark, d):
+    return found(_cards(spark, d, "ebid", "Виды документов", "Письмо", "Атлас, карта"), "ebid")
+
+
+@query(record("garf_1829", "'http://garf/case/' || doc_id", "'Калужская ' || title") + f" WHERE {_IN_TIME} AND doc_id % 2 = 0")
+def source_garf_1829(spark, d):
+    rows = made(spark, d).withColumns({"place": F.when(F.col("doc_id") % 2 == 0, "Калужская").otherwise("Тверская"), "year": (1700 + F.col("doc_id") % 300).cast("string")})
+    html = '<table><tr><td>1829 1 {id}</td><td><a href="/case/{id}">{place} {safe}</a></td><td>{year}</td></tr><tr><td>1</td><td>Калужская 1800</td></tr></table>'
+    return found(captured(rows, "garf_1829", "http://garf/{id}", html), "garf_1829")
+
+
+@query(
+    "SELECT 'garf' AS library_id, left('Д ' || doc_id || ' ' || title || ' 1650', 100) AS title, CAST(y AS INTEGER) AS year_from, 1650 AS year_to, 'http://garf/' || doc_id AS url "
+    f"FROM {_MADE} WHERE length('Д ' || doc_id || ' ' || title || ' 1650') <= 100 UNION ALL "
+    "SELECT 'kaluga_table', left('Д ' || doc_id || ' ' || title || ' 1650', 150), CAST(y AS INTEGER), 1650, 'http://garf/' || doc_id "
+    f"FROM {_MADE} WHERE length('Д ' || doc_id || ' ' || title || ' 1650') <= 100"
+)
+def source_whole_rows(spark, d):
+    """Rows taken whole: years in the order that they are named in, no filter."""
+    rows = made(spark, d).where(F.length(F.concat(F.lit("Д "), "id", F.lit(" "), "title", F.lit(" 1650"))) <= 100)
+    one = captured(rows, "garf", "http://garf/{id}", "<table><tr><td>Д {id}</td><td>{safe}</td><td>1650</td></tr></table>")
+    two = captured(rows, "kaluga_table", "http://garf/{id}", "<table><tr><th>Шифр</th><th>Название</th></tr><tr><td>Д {id}</td><td>{safe}</td><td>1650</td></tr></table>")
+    return found(one, "garf", years=(None, None)).unionAll(found(two, "kaluga_table", years=(None, None)))
+
+
+@query(
+    f"SELECT 'rnb_kart' AS library_id, title, CAST(y AS INTEGER) AS year_from, CAST(y AS INTEGER) AS year_to, CAST(doc_id AS VARCHAR) AS number, 'К 1-' || doc_id AS shelfmark FROM {_MADE}"
+)
+def source_rnb_kart(spark, d):
+    html = '<table><tr><td><FONT COLOR="RED">{id}</FONT><br>К 1-{id}<br>{safe}<br><a href="/rusmarc?numer={id}">Rusmarc</a></td><td>нет номера</td></tr></table>'
+    got = L.search(captured(made(spark, d), "rnb_kart", "http://rnb/{id}", html), "rnb_kart").where("extra is not null")
+    return got.select("library_id", "title", "year_from", "year_to", F.col("extra")["number"].alias("number"), F.col("extra")["shelfmark"].alias("shelfmark"))
+
+
 @query(record("archives_legacy", "'http://arch/unit/' || doc_id") + f" WHERE {_IN_TIME}")
 def source_archives_legacy(spark, d):
     html = '<article class="x"><h2>{safe}</h2><a href="/unit/{id}">open</a><span class="date">{year} г.</span></article><div>Карта 1800</div>'

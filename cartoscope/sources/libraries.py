@@ -60,6 +60,29 @@ def table_rows(pages: DataFrame) -> DataFrame:
     return every.select(*pages.columns, "pos", cells.alias("cells"), href.alias("href"), F.array_join(cells, " ").alias("body"))
 
 
+def unit_rows(pages: DataFrame) -> DataFrame:
+    """``pages`` with a row per link: pos, href, title, and as body the text of the table row or list item that it is in."""
+    parts = F.split(T.text(F.col("html")), r"(?i)(?=<(?:tr|li)\b)")
+    every = pages.select("*", F.posexplode(parts).alias("_at", "_part"))
+    own = F.regexp_replace("_part", r"(?is)</(?:tr|li)\s*>.*$", "")
+    links = every.withColumn("_row", own).select("*", F.posexplode(F.regexp_extract_all(own, F.lit(H.ANCHOR), F.lit(0))).alias("_n", "_link"))
+    title = plain(F.regexp_replace("_link", "^<[^>]*>", ""))
+    body = F.when(F.col("_part").rlike(r"(?i)^<(?:tr|li)\b"), plain(F.col("_row"))).otherwise(title)
+    pos = (F.col("_at") * F.lit(1_000_000).cast("long") + F.col("_n")).alias("pos")
+    return links.select(*pages.columns, pos, F.regexp_extract("_link", H.LINK, 1).alias("href"), title.alias("title"), body.alias("body"))
+
+
+def case_rows(pages: DataFrame) -> DataFrame:
+    """``pages`` with a row per table row of three cells or more: title (its link, or its
+    last long cell that is no number of a case), date (its last cell), body."""
+    every = pages.select("*", F.posexplode(F.regexp_extract_all(T.text(F.col("html")), F.lit(ROW), F.lit(1))).alias("pos", "_row"))
+    cells = F.transform(F.regexp_extract_all("_row", F.lit(r"(?is)<td\b[^>]*>(.*?)</td>"), F.lit(1)), plain)
+    named = F.filter(cells, lambda c: (F.length(c) > 5) & ~c.rlike(V.CIPHER_SHAPES["garf"]))
+    link = plain(F.regexp_replace(F.regexp_extract("_row", H.ANCHOR, 0), "^<[^>]*>", ""))
+    made = {"cells": cells, "title": T.first_text(link, F.try_element_at(named, F.lit(-1))), "date": T.text(F.try_element_at(cells, F.lit(-1))), "href": F.regexp_extract("_row", H.LINK, 1)}
+    return every.select(*pages.columns, "pos", *[c.alias(n) for n, c in made.items()], F.array_join(cells, " ").alias("body"))
+
+
 def cell_rows(pages: DataFrame) -> DataFrame:
     """``pages`` with a row per table cell: pos, href and title of its first link, or its text."""
     every = pages.select("*", F.posexplode(F.regexp_extract_all(T.text(F.col("html")), F.lit(CELL), F.lit(1))).alias("pos", "_cell"))
@@ -199,14 +222,18 @@ def of_fond(query: Column) -> Column:
     return (F.size("cells") >= 3) & F.col("body").rlike(r"(?<![0-9])1829\s+1\s+[0-9]+(?![0-9])")
 
 
+def after_header(query: Column) -> Column:
+    return (F.col("pos") > 0) & (F.size("cells") >= 2)
+
+
 def own_domain(query: Column) -> Column:
     host = F.regexp_extract("page", "^[a-z]+://([^/]+)", 1)
     return ~F.startswith("href", F.lit("http")) | F.contains("href", host)
 
 
 class Catalogue(NamedTuple):
-    """rows: links, table, cells, blocks, items, articles, red, marc or card. keep: all
-    must hold. link: pattern of the links that count. title: cell of a table's
+    """rows: links, units, table, cases, cells, blocks, items, articles, red, marc or card. keep: all
+    must hold. ordered: years are the first and the last named, not the least and the greatest. link: pattern of the links that count. title: cell of a table's
     title, -1 for the whole row. once: columns that make a record the same one;
     page: within a page only.
 
@@ -224,6 +251,7 @@ class Catalogue(NamedTuple):
     least: int = 1
     cut: int = 0
     dated: bool = True
+    ordered: bool = False
     once: tuple[str, ...] = ()
     page: bool = False
     mode: str = "query"
@@ -236,7 +264,7 @@ class Catalogue(NamedTuple):
 
 
 LISTED = Catalogue("links", (cartographic,), least=5, once=("url",), page=True)
-UNITS = Catalogue("links", once=("url",))
+UNITS = Catalogue("units", once=("url",))
 CARDS = Catalogue("card", once=("url",))
 CATALOGUES: dict[str, Catalogue] = {
     "gpib": Catalogue("table", (numbered, cartographic), title=1, cut=200, once=("url", "title"), where="^(?!.*cgiirbis)", also=("gpib_opac",)),
@@ -259,16 +287,16 @@ CATALOGUES: dict[str, Catalogue] = {
     "rgia": CARDS,
     "rosarchive": UNITS._replace(link="/[0-9]{8,}"),
     "ebid": Catalogue("card", (map_kind,), once=("url",)),
-    "garf_1829": Catalogue("table", (of_fond, territorial)),
-    "garf": Catalogue("table", cut=100, dated=False),
+    "garf_1829": Catalogue("cases", (of_fond, territorial)),
+    "garf": Catalogue("table", cut=100, dated=False, ordered=True),
     "gapk": UNITS._replace(link="/cases?/[0-9]+|/delo/[0-9]+|/documents?/[0-9]+", where="/funds$|/funds[?]", via=("/funds/[0-9]+$", "/inventor(y|ies)/[0-9]+")),
     "gapk_search": UNITS,
-    "gako": UNITS._replace(link="^(?!.*search)"),
+    "gako": UNITS._replace(link="^(?!.*(?:search|javascript|#))"),
     "gayao": UNITS,
     "cgamos": UNITS,
     "rnb_kart": Catalogue("table", (numbered,), title=-1, dated=False, once=("number",), also=("rnb_red",)),
     "sverdlovsk": Catalogue("table", (a_record, geographic), cut=200, once=("title", "year_from")),
-    "kaluga_table": Catalogue("table", cut=150, dated=False),
+    "kaluga_table": Catalogue("table", (after_header,), cut=150, dated=False, ordered=True),
     "neb_marc": Catalogue("marc", once=("url",)),
     "ebid_legacy": CARDS,
     "archives_legacy": Catalogue("articles"),
@@ -283,7 +311,7 @@ LAYOUTS: dict[str, Catalogue] = {
     "rnb_red": Catalogue("red", dated=False, once=("number",)),
 }
 
-_ROWS = {"links": link_rows, "table": table_rows, "card": card_rows, "cells": cell_rows, "blocks": block_rows, "items": item_rows, "red": red_rows, "marc": marc_rows, "articles": article_rows}
+_ROWS = {"links": link_rows, "units": unit_rows, "cases": case_rows, "table": table_rows, "card": card_rows, "cells": cell_rows, "blocks": block_rows, "items": item_rows, "red": red_rows, "marc": marc_rows, "articles": article_rows}
 
 
 def absolute(href: str, page: str) -> Column:
@@ -363,7 +391,7 @@ def _layout(pages: DataFrame, c: Catalogue, source: str, asked: Column, year_fro
         own = own.withColumn("title", T.text(F.col("body") if c.title < 0 else F.get("cells", F.lit(c.title))))
         own = own.withColumn("number", F.get("cells", F.lit(0)))
     own = own.drop("html").withColumnRenamed("url", "page")
-    if c.rows == "links":
+    if c.rows in ("links", "units"):
         own = own.where(T.real_href(F.col("href")))
     if c.link:
         own = own.where(F.col("href").rlike(c.link))
@@ -372,8 +400,8 @@ def _layout(pages: DataFrame, c: Catalogue, source: str, asked: Column, year_fro
         own = own.where(keep(asked))
     if territory:
         own = own.where(D.has(F.concat_ws(" ", "title", "body"), territory))
-    dated = {"card": F.concat_ws(" ", "title", field("date")), "blocks": F.col("body"), "items": F.col("body"), "marc": F.col("date"), "articles": F.col("date")}
-    first, last = T.years(dated.get(c.rows, F.col("title")))
+    dated = {"units": F.col("body"), "cases": T.first_text(F.col("date"), F.col("title")), "card": F.concat_ws(" ", "title", field("date")), "blocks": F.col("body"), "items": F.col("body"), "marc": F.col("date"), "articles": F.col("date")}
+    first, last = (T.years_in_order if c.ordered else T.years)(dated.get(c.rows, F.col("title")))
     own = own.withColumns({"year_from": first, "year_to": last})
     if c.dated:
         own = own.where(T.year_overlap(F.col("year_from"), F.col("year_to"), year_from, year_to))
@@ -389,6 +417,9 @@ def _layout(pages: DataFrame, c: Catalogue, source: str, asked: Column, year_fro
         given |= {"author": field("author"), "place": field("place"), "extra": F.col("fields")}
     if c.rows == "marc":
         given |= {n: F.col(n) for n in ("author", "place", "scale", "description")}
+    if c.rows == "units":
+        cipher, archive = D.whole_cipher(F.col("body")), D.archive_at_end(F.col("body"))
+        given["extra"] = F.create_map(*[x for k in ("cipher", "fund", "inventory", "case") for x in (F.lit(k), cipher[k])], F.lit("archive"), archive)
     if c.rows == "items":
         named = {"shelfmark": D.after_label(F.col("body"), "Шифр хранения"), "subject": D.after_label(F.col("body"), "Тема", 20), "notes": D.after_label(F.col("body"), "Общие примечания"), "access": T.access_class(F.col("body"))}
         given["extra"] = F.create_map(*[x for k, v in named.items() for x in (F.lit(k), v)])
