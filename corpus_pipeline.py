@@ -15,6 +15,16 @@ from cartoscope.llm.storage import forget, store
 LEAST_LANGUAGE_SCORE = 0.1
 
 
+#: Text that goes to a Python worker at once; Spark's default is 64 MB, held by the JVM and the worker of every task.
+BATCH = {"spark.sql.execution.arrow.maxBytesPerBatch": "8m", "spark.sql.execution.arrow.maxRecordsPerBatch": "2000"}
+
+
+def _bounded(spark: SparkSession) -> None:
+    """Small batches for the session that the pipeline runs in, as its stages are evaluated later."""
+    for name, value in BATCH.items():
+        spark.conf.set(name, value)
+
+
 def identified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a known language; null, letterless and unlike texts go.
 
@@ -23,6 +33,7 @@ def identified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     one, repeated rows fare alike, and the columns of documents stay whatever
     their names.
     """
+    _bounded(spark)
     profiles = langid.fit_profiles(langid.learnable(docs))
     found = langid.identify(docs, profiles)
     return found.where((F.col("lang_pred") != langid.UNKNOWN) & (F.col("score") >= LEAST_LANGUAGE_SCORE)).select(*docs.columns)
@@ -34,11 +45,13 @@ def deduplicated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     A null doc_id comes after all others; of rows that repeat a doc_id, the one
     with the least text hash stays.
     """
+    _bounded(spark)
     return simhash.one_each(docs)
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a passage of the benchmark."""
+    _bounded(spark)
     return decontam.clean(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), torn=True)
 
 
