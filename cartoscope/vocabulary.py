@@ -84,7 +84,7 @@ WORKAROUNDS = {
     "connection": "Нет сетевого соединения с сервером. Проверить блокировки, попробовать VPN.",
     "ssl": "Проблема с сертификатом SSL. Попробовать requests.get(..., verify=False) с осторожностью.",
     "empty": "Сайт отвечает, но поиск не возвращает результатов. Возможно, изменилась структура страницы — проверить CSS-селекторы вручную.",
-    "other": "Проверить сайт вручную и обновить searcher_libraries.py если изменилась структура.",
+    "other": "Проверить сайт вручную и обновить разбор страниц, если изменилась структура.",
 }
 # Portals, rows that are no records, words of titles that are known to mark maps.
 PORTALS = ("руниверс", "retromap", "southklad", "qmap", "этоместо", "etomesto")
