@@ -124,6 +124,12 @@ def offsets(total: Column, size: int = 20, first: int = 1) -> Column:
     return F.when(total >= first, F.sequence(F.lit(first).cast("long"), total, F.lit(size).cast("long"))).otherwise(F.array().cast("array<bigint>"))
 
 
+def last_offset(total: Column, size: int = 20, first: int = 1) -> Column:
+    """Where the last page of results begins, without a list of the others; null without results."""
+    whole = total.cast("long")
+    return F.when(whole >= first, whole - (whole - first) % size)
+
+
 def last_page(html: Column) -> Column:
     """The greatest page number that a link of the page names; 1 if none does."""
     numbers = F.regexp_extract_all(text(html), F.lit(r"""(?i)href=["'][^"']*?(?:pages?|[?&;](?:p|stpage|pg))=([0-9]+)"""), F.lit(1))
