@@ -50,6 +50,12 @@ def plain_cipher(c: Column) -> Column:
     return F.struct(*[F.regexp_extract(text(c), p, 1).alias(k) for k, p in parts.items()])
 
 
+def without_numbers(c: Column) -> Column:
+    """The text without the numbers of its cipher (fund, inventory and case) and of a case
+    by name, ``Дело 1799``: they look like years. ``Дело 1799 г.`` and ``Дело 1796-1799`` name years."""
+    return F.regexp_replace(text(c), f"{V.CIPHER}|{V.CASE}", " ")
+
+
 def archive_at_end(c: Column) -> Column:
     return strip(F.regexp_extract(text(c), V.ARCHIVE_AT_END, 0))
 
