@@ -52,7 +52,8 @@ def plain_cipher(c: Column) -> Column:
 
 def without_numbers(c: Column) -> Column:
     """The text without the numbers of its cipher (fund, inventory and case) and of a case
-    by name, ``Дело 1799``: they look like years. ``Дело 1799 г.`` and ``Дело 1796-1799`` name years."""
+    by name, ``Дело 1799`` or, at the beginning, ``Д 1799``: they look like years.
+    ``Дело 1799 г.`` and ``Дело 1796-1799`` name years."""
     return F.regexp_replace(text(c), f"{V.CIPHER}|{V.CASE}", " ")
 
 

@@ -102,7 +102,7 @@ CIPHER_SHAPES = {
 }
 # A whole cipher, and the number of a case by name unless it is marked as a year or begins a period.
 CIPHER = r"(?<![\p{L}\p{N}_])Ф[.\s]+[\p{L}\p{N}_.-]+[,;]?\s+[Оо]п[.\s]+\S+\s+(?:т[.\s]+\S+\s+)?[Дд][.\s]+[0-9][\p{L}\p{N}_/-]*"
-CASE = r"(?<![\p{L}\p{N}_])[Дд]ело\s+(?:№\s*)?[0-9]{4}(?![\p{L}\p{N}_])(?!\s*(?:[-–—]\s*[0-9]{4}|гг?(?![\p{L}\p{N}_])|год))"
+CASE = r"(?:^\s*Д[.\s]+|(?<![\p{L}\p{N}_])[Дд]ело\s+(?:№\s*)?)[0-9]{4}(?![\p{L}\p{N}_])(?!\s*(?:[-–—]\s*[0-9]{4}|гг?(?![\p{L}\p{N}_])|год))"
 ARCHIVE_AT_END = r"(ГБУ|МКУ|ГАУ|ГБУК)\s+[\p{L}\p{N}_\s]+$"
 # How pages tell the number of hits, in order of preference.
 TOTALS = (r"Найденных документов[^:]*:\s*([0-9]+)", r"Количество\s+записей[:\s]*([0-9]+)", r"Результаты[^:]*:\s*[0-9-]+\s+из\s+([0-9]+)", r"Найдено[:\s]*([0-9]+)", r"из\s+([0-9]+)")
